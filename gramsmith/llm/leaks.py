@@ -205,6 +205,9 @@ def _long_enough(a: list[int], b: list[int], low: int, high: int, shift: int) ->
     n = high - low
     if n >= SPAN:
         return True
+    # A dropped word that equals its neighbour leaves no gap behind which words could follow.
+    if n + 1 >= SPAN and (high < len(a) and a[high] == a[high - 1] or low > 0 and a[low - 1] == a[low]):
+        return True
     for di, dj in ((1, 1), (1, 0), (0, 1)):
         more = _forward(a, b, high + di, high + shift + dj)
         if more and n + di + more >= SPAN:
