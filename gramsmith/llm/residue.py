@@ -85,6 +85,10 @@ ANNOUNCED = re.compile(
     r"|\W*add your (?:description|text|content|title) here\W*(?:click to edit this paragraph\W*)?"
     r"|\W*click to edit this (?:paragraph|text)\W*"
 )
+# Phrases that announce wherever they stand in a segment.
+ANNOUNCING = re.compile(
+    r"\bbeskrivning(?:en)? kommer inom kort\b|\bhier steht bald eine beschreibung\b|\btexte a venir\b|\(description pending\)|\badd your description here\b|\bclick to edit this paragraph\b|\breplace this block before launch\b|\btodo: write the\b|\bcopy to come from editor\b"
+)
 UNSET = re.compile(r"\b(?:undefined|null|nan)\b|\[object object\]")
 UNSET_SURE = re.compile(r"\[object object\]|\bserves (?:undefined|null|nan)\b|\b(?:undefined|nan|null) (?:cups?|g|gram|grams|dl|ml|oz|tsp|tbsp|msk|tsk|minutes?|undefined|nan|null)\b")
 _THING = r"(?:page|recipe|request|resource|address|site|url|file|document|content)"
@@ -93,7 +97,8 @@ ERRORS = re.compile(
     r"|^\W*(?:http|error|serverfel|fehler|erreur|fel)\s*:?\s*(?:4\d\d|5\d\d)\b(?!\s*(?:g|ml|dl|gram|grams)\b)"
     r"|^\W*(?:error code|status|incident|felkod|fehler|erreur|fel)\s+(?:[45]\d\d(?:/[0-9a-f]+)?|[0-9a-f]{8})\W*$"
     r"|^\W*request id: [0-9a-f]+\W*$"
-    r"|^\W*(?:404|403|500|502|503|504)\W+(?:page )?(?:not found|forbidden|bad gateway|gone|internal server error|service unavailable|gateway timeout)\W*$"
+    rf"|\b(?:the|this) (?:requested )?{_THING} \S+ (?:could not be|was not) found on this server\b|\b(?:http|error) [45]\d\d ?[:–\-] ?(?:not found|forbidden|bad gateway|gone|internal server error|service unavailable|gateway time-?out)\b"
+    r"|^\W*[45]\d\d\W+(?:page )?(?:not found|forbidden|bad gateway|gone|internal server error|service unavailable|gateway timeout)\W*$"
     r"|^\W*(?:page )?not found\W*$"
     r"|\b(?:bad gateway|internal server error|gateway time-?out|service (?:temporarily )?unavailable)\W*$"
     r"|^\W*(?:go back to the start page|contact the webmaster|try reloading) (?:[45]\d\d)(?:/[0-9a-f]+)?\W*$"
@@ -106,7 +111,7 @@ ERRORS = re.compile(
     r"|\bsomething went wrong while loading\b|^\W*try again later\. ?\(code|^\W*\(code [45]\d\d\)\W*$"
     r"|\bwarning: division by zero in\b|\bwarning: \w+\(\)|\bdivision by zero in /|\bunhandled exception\b|\bsegmentation fault\b"
     rf"|\bwe can(?:no|.)?t find the {_THING}\b|\b{_THING} you(?:.re| are) looking for\b|^\W*it may have been (?:removed|moved|deleted)\W*$"
-    r"|^\W*too many requests\b"
+    r"|^\W*too many requests\b|\b(?:the|this|our) (?:service|server|site|website) is (?:temporarily |currently )?(?:unavailable|down)(?: due to| for) maintenance\b|^\W*(?:please )?check back (?:soon|later)\W*$"
 )
 _SCRIPT = r"(?:javascript|java script|js|scripts?|scripting|java-script)"
 SCRIPTS = re.compile(
@@ -114,14 +119,14 @@ SCRIPTS = re.compile(
     rf"|\b{_SCRIPT} (?:is|are|has been|seems to be|appears to be) (?:disabled|turned off|switched off|blocked|required|off)\b"
     rf"|^\W*this (?:page|site|app|recipe|website) (?:requires|needs) {_SCRIPT}\b|\bdoes not support {_SCRIPT}\b|\byour browser (?:has|blocks|does)\b.*\b(?:turned off|{_SCRIPT})"
     r"|\bwon.?t work properly without it\b|\bchecking your browser before continuing\b"
-    r"|\b(?:din )?webblasaren? (?:blockerar|kor inte|saknar|stoder inte) (?:java)?skript\b|\b(?:maste|vanligen|var god(?: och)?) aktivera (?:javascript|java script|skript)\b"
+    r"|\b(?:din )?webblasaren? (?:(?:blockerar|kor inte|saknar|stoder inte) (?:java)?s[ck]ript|har stangt av (?:javascript|java script|(?:java)?skript))\b|\b(?:maste|vanligen|var god(?: och)?) aktivera (?:javascript|java script|skript)\b"
     r"|^\W*(?:aktivera|tillat|sla pa) (?:javascript|java script|skript|det)\b"
     r"|\bveuillez activer (?:javascript|les scripts)\b|\bbitte aktivieren sie (?:javascript|skripte)\b|\bbitte (?:javascript|skripte) aktivieren\b"
 )
 #: A text without any of these can't hold residue of the grammar; saves the rest of the work.
 _TRIGGER = re.compile(
     r"[{}<>@]|\[|%[^\W\d]|__|&lt;|&#|undefined|null|\bnan\b|todo|fixme|\btb[dca]\b|lorem|ipsum|consequat|aliqu|nostrud|laboris|ullamco|consectetur|eiusmod|text|blah|dummy|copy|paragraph|descri|beskriv|beschreib|innehall"
-    r"|error|felkod|fehler|erreur|\bfel\b|http|request|denied|expired|log in|traceback|went wrong|division|find the page|page|recipe|resource|address|status|incident|reload|webmaster|seite|introuvable|sidan|adressen|find the|removed|forsok|serverfel|code|exception|script|\bjs\b|skript|browser|webblasar|work properly|sla pa|gateway|file \""
+    r"|error|felkod|fehler|erreur|\bfel\b|http|request|denied|expired|log in|traceback|went wrong|division|find the page|page|recipe|resource|address|status|incident|reload|webmaster|seite|introuvable|sidan|adressen|find the|removed|maintenance|check back|unavailable|forsok|serverfel|code|exception|script|\bjs\b|skript|browser|webblasar|work properly|sla pa|gateway|file \""
 )
 # -------------------------------------------------------------------------------------------------
 
@@ -180,7 +185,7 @@ def judge(seg: str) -> int:
     low = flat(_KNOWN_TAG.sub(" ", seg) if "<" in seg else seg)
     if not _TRIGGER.search(low):
         return NONE
-    if _filler(_WORD.findall(low)) or ANNOUNCED.fullmatch(low) or UNSET_SURE.search(low) or len(UNSET.findall(low)) >= 2 or ERRORS.search(low) or SCRIPTS.search(low):
+    if _filler(_WORD.findall(low)) or ANNOUNCED.fullmatch(low) or ANNOUNCING.search(low) or UNSET_SURE.search(low) or len(UNSET.findall(low)) >= 2 or ERRORS.search(low) or SCRIPTS.search(low):
         return WHOLE
     return WITHIN if _placeholder(seg) else NONE
 

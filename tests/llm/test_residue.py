@@ -10,6 +10,7 @@ RESIDUE = [
     "{{ title }} serves four", "<%= servings %> cups", "Mix ${amount} of flour", "#{base} and milk", "@@step_1@@: whisk", "[[portion.name]]", "%COOK_TIME% left", "__RECIPE_TITLE__ with eggs", "<cook_time> minutes", "&lt;author&gt; says", "[skriv titel här] smet", "[INSERT NAME HERE]", "{% block intro %}",
     "Lorem ipsum dolor sit amet consectetur adipiscing elit.", "Crêpes\n\nNostrud ea laboris commodo ex aliqua ullamco.", "sample text placeholder copy dummy paragraph", "TODO: write the intro for this recipe", "Beskrivning kommer inom kort", "(description pending)", "Texte à venir", "Hier steht bald eine Beschreibung",
     "undefined cups null, serves NaN", "NaN dl [object Object]", "Oops! The page could not be processed. Error code 502", "Sidan kunde inte hittas (404).", "HTTP 503 – Gone", "Error 502: Bad Gateway", "Access denied. You do not have permission to view this.", "Session expired.", "Fatal error: Uncaught exception 'X' in a.php",
+    "The service is temporarily unavailable due to maintenance. Please check back soon.", "The page /a/1 could not be found on this server.", "Webbläsaren har stängt av JavaScript.", "Muffins Beskrivning kommer inom kort My bowl is small", "410 Forbidden.",
     "Die angeforderte Seite wurde nicht gefunden.", "PLEASE ENABLE JAVASCRIPT TO VIEW THIS RECIPE", "Du måste aktivera JavaScript i din webbläsare.", "<noscript>Turn on scripting to load the comments.</noscript>", "Pannkakor. JavaScript is disabled.", "We can't find the recipe you are looking for.",
 ]
 EARNEST = [
