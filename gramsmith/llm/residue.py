@@ -126,7 +126,7 @@ SCRIPTS = re.compile(
 #: A text without any of these can't hold residue of the grammar; saves the rest of the work.
 _TRIGGER = re.compile(
     r"[{}<>@]|\[|%[^\W\d]|__|&lt;|&#|undefined|null|\bnan\b|todo|fixme|\btb[dca]\b|lorem|ipsum|consequat|aliqu|nostrud|laboris|ullamco|consectetur|eiusmod|text|blah|dummy|copy|paragraph|descri|beskriv|beschreib|innehall"
-    r"|error|felkod|fehler|erreur|\bfel\b|http|request|denied|expired|log in|traceback|went wrong|division|find the page|page|recipe|resource|address|status|incident|reload|webmaster|seite|introuvable|sidan|adressen|find the|removed|maintenance|check back|unavailable|forsok|serverfel|code|exception|script|\bjs\b|skript|browser|webblasar|work properly|sla pa|gateway|file \""
+    r"|error|felkod|fehler|erreur|\bfel\b|http|request|denied|expired|log in|traceback|went wrong|division|find the page|page|recipe|resource|address|status|incident|reload|webmaster|seite|introuvable|sidan|adressen|find the|removed|forbidden|not found|too many|maintenance|check back|unavailable|forsok|serverfel|code|exception|script|\bjs\b|skript|browser|webblasar|work properly|sla pa|gateway|file \""
 )
 # -------------------------------------------------------------------------------------------------
 
