@@ -34,10 +34,12 @@ def parse(cell: Column) -> Column:
 
     To be projected once: its fields are used several times.
     """
-    group = lambda k: F.regexp_extract(cell, MEASURE, k)
-    zero = group(3) != ""
-    unit = F.when(zero, F.lit("gram")).otherwise(group(2))
-    return F.struct((group(0) != "").alias("matched"), F.when(zero, F.lit(0.0)).otherwise(group(1).try_cast("double")).alias("value"), unit.alias("unit"), F.lower(strip(unit)).alias("key"))
+    # One pass of the pattern: its groups come out with marks between them, a cell without a match as it is.
+    parts = F.split(F.regexp_replace(cell, f"(?s){MEASURE}.*$", "$1\u0001$2\u0001$3"), "\u0001")
+    at = lambda k: F.try_element_at(parts, F.lit(k))
+    zero = F.coalesce(at(3) != "", F.lit(False))
+    unit = F.when(zero, F.lit("gram")).otherwise(at(2))
+    return F.struct(F.coalesce(F.size(parts) == 3, F.lit(False)).alias("matched"), F.when(zero, F.lit(0.0)).otherwise(at(1).try_cast("double")).alias("value"), unit.alias("unit"), F.lower(F.rtrim(unit)).alias("key"))
 
 
 def unit_known(key: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gramsmith.functions import measures
 from gramsmith.operators import catalog, compose, ratio, stats
-from gramsmith.session import table
+from gramsmith.session import spread, table
 from gramsmith.sources import registry
 from gramsmith.sources.recipes import Frame
 from gramsmith.sources.registry import Ingredient
@@ -31,7 +31,8 @@ def _text() -> Column:
 
 def _measures(spark: SparkSession, d: str, *more: str) -> DataFrame:
     """Lines with their parsed measure as p."""
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *more, measures.parse(_text()).alias("p"))
+    lines = spread(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", *more))
+    return lines.select("l_orderkey", "l_linenumber", "l_partkey", *more, measures.parse(_text()).alias("p"))
 
 
 def _grams(spark: SparkSession, d: str, *more: str) -> DataFrame:
