@@ -185,6 +185,11 @@ def bad_lines(lines: DataFrame, units: tuple, table: str = "measure_lines") -> D
     Null and blank lines are neither loaded nor reported; repeated lines are
     reported each.
     """
+    return judge_lines(spread(with_headers(lines)), units, table)
+
+
+def judge_lines(lines: DataFrame, units: tuple, table: str) -> DataFrame:
+    """The same for lines that have their header: line_id, raw_line, head_line. A map, in batches and streams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = _grammar(units)
@@ -196,7 +201,7 @@ def bad_lines(lines: DataFrame, units: tuple, table: str = "measure_lines") -> D
                     reasons.append(f.reason)
             yield _out(table, ids, reasons)
 
-    return spread(with_headers(lines)).mapInArrow(run, SCHEMA)
+    return lines.mapInArrow(run, SCHEMA)
 
 
 def good_lines(lines: DataFrame, units: tuple) -> DataFrame:

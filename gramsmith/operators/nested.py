@@ -106,7 +106,6 @@ def shred(df: DataFrame, id_col: str, types: tuple[NodeType, ...]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = b.num_rows
-            ids = b.column(0).to_numpy(zero_copy_only=False)
             zero = np.zeros(n, dtype=np.int64)
             root = _Nodes(None, np.arange(n), zero, None)
             for t in types:
@@ -124,7 +123,7 @@ def shred(df: DataFrame, id_col: str, types: tuple[NodeType, ...]) -> DataFrame:
                 label, number = (of(k.label, pa.string()), of(k.number, pa.float64())) if k else (pa.nulls(m, pa.string()), pa.nulls(m, pa.float64()))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[record[id(nodes)]], pa.int64()),
+                        b.column(0).take(pa.array(record[id(nodes)])).cast(pa.int64()),
                         pa.array([k.name if k else "record"] * m, pa.string()),
                         pa.array(pre, pa.int64()),
                         pa.array(post, pa.int64()),

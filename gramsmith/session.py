@@ -6,8 +6,8 @@ checkpoint folder where none is named.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterable
 from pathlib import Path
@@ -61,6 +61,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Writes a table to the shared checkpoint folder and reads it back, column by column as needed.
+
+    The table goes when the session's JVM ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deals rows to all cores where the scan has fewer splits than there are cores.
 
@@ -92,7 +106,3 @@ def free_name(taken: Iterable[str], wanted: str) -> str:
     while wanted.lower() in low:
         wanted += "_"
     return wanted
-
-
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)

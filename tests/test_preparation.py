@@ -78,6 +78,9 @@ def test_nested(spark):
     b = [(1, "ingredient", 0, "a", 0), (1, "ingredient", 2, "b", 0), (1, "whole_unit", 2, "u", 1500)]
     assert got == sorted([*b, *b, (1, "source", 0, "", 0), (3, "source", 0, "x", 0), (4, "ingredient", 0, "", 0), (4, "whole_unit", 0, "", 0)])
     assert nested.recipe_nodes(spark.createDataFrame([], RECORD)).count() == 0
+    big = 2**62 + 1
+    odd = nested.recipe_nodes(spark.createDataFrame([(big, [("a", None)], None, None), (None, [("b", None)], None, None)], RECORD))
+    assert {tuple(r)[:1] + (r["label"],) for r in odd.collect()} == {(big, "a"), (None, "b")}
 
 
 def _walk(record):
@@ -132,6 +135,20 @@ def test_bad_lines(spark):
     assert badrows.bad_lines(df.limit(0), UNIT_ROWS).count() == 0
 
 
+def test_bad_lines_of_a_stream(spark, tmp_path):
+    from gramsmith.streaming import ingest
+
+    schema = "line_id bigint, file_name string, line_nr int, raw_line string"
+    df = spark.createDataFrame(LINES, schema)
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    heads = df.filter("line_nr = 1").select("file_name", "raw_line")
+    stream = ingest.bad_lines(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), heads, UNIT_ROWS)
+    q = stream.writeStream.format("memory").queryName("bad").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(map(tuple, spark.table("bad").collect())) == sorted(map(tuple, badrows.bad_lines(df, UNIT_ROWS).collect()))
+
+
 def test_bad_cells(spark):
     df = spark.createDataFrame([(1, "1 msk", "0"), (2, "", None), (3, None, None), (4, "2 st", "x"), (5, "1,5 KNOB", "1 l"), (6, "0.0", "1 g")], "id bigint, butter string, salt string")
     got = badrows.bad_cells(df, "t", "id", {"butter": "butter", "salt": "salt"}, UNIT_ROWS)
