@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -218,10 +219,10 @@ def _long_enough(a: list[int], b: list[int], low: int, high: int, shift: int) ->
     return False
 
 
-_kept: dict[int, TemplateIndex] = {}
+_kept: dict[str, TemplateIndex] = {}
 
 
-def _index(key: int, items: list[tuple[int, str]]) -> TemplateIndex:
+def _index(key: str, items: list[tuple[int, str]]) -> TemplateIndex:
     if key not in _kept:
         _kept.clear()
         _kept[key] = TemplateIndex(items)
@@ -240,10 +241,10 @@ def _blocks(items: DataFrame, item_id: str, item_text: str, limit: int) -> Itera
 def _search(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, limit: int, schema: str, out: pa.Schema, per_text) -> DataFrame:
     result = None
     for block in _blocks(items, item_id, item_text, limit):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _index(id(shared.value), shared.value)
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, key=key) -> Iterator[pa.RecordBatch]:
+            index = _index(key, shared.value)
             for b in batches:
                 rows = []
                 for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):

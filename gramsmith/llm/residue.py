@@ -25,7 +25,6 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramsmith.session import broadcast_if_small, checkpoint_dir, cut, spread
+from gramsmith.session import broadcast_if_small, cut, spread, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -292,13 +291,8 @@ def residue(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     several rows is reported if one of them holds residue. Whole texts are read.
     The segments are written once to the shared checkpoint folder.
     """
-    spark = docs.sparkSession
-    path = f"{checkpoint_dir(spark)}/segments-{uuid.uuid4().hex}"
-    cut_segments(docs, doc_id, text).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = written(cut_segments(docs, doc_id, text))
     segs = rows.groupBy("seg").agg(F.max("kind").alias("kind"), F.first("sim").alias("sim"), F.first("words").alias("words"))
-    segs_path = f"{checkpoint_dir(spark)}/distinct-{uuid.uuid4().hex}"
-    segs.write.parquet(segs_path)
-    whole = spread_labels(spark.read.parquet(segs_path))
+    whole = spread_labels(written(segs))
     within = rows.filter(F.col("kind") == WITHIN).select("doc_id")
     return rows.join(broadcast_if_small(whole), "seg", "left_semi").select("doc_id").unionByName(within).distinct()
