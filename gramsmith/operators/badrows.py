@@ -175,7 +175,7 @@ def with_headers(lines: DataFrame) -> DataFrame:
     holds a large share of the lines.
     """
     heads = lines.filter("line_nr = 1 AND file_name IS NOT NULL").groupBy(F.col("file_name").alias("head_file")).agg(F.min_by("raw_line", "line_id").alias("head_line"))
-    body = lines.select("line_id", "raw_line", "file_name").filter("line_nr IS NULL OR line_nr <> 1")
+    body = spread(lines.filter("line_nr IS NULL OR line_nr <> 1").select("line_id", "raw_line", "file_name"))
     return body.join(broadcast_if_small(heads), F.col("file_name") == F.col("head_file"), "left").select("line_id", "raw_line", "head_line")
 
 
@@ -185,7 +185,7 @@ def bad_lines(lines: DataFrame, units: tuple, table: str = "measure_lines") -> D
     Null and blank lines are neither loaded nor reported; repeated lines are
     reported each.
     """
-    return judge_lines(spread(with_headers(lines)), units, table)
+    return judge_lines(with_headers(lines), units, table)
 
 
 def judge_lines(lines: DataFrame, units: tuple, table: str) -> DataFrame:
@@ -217,7 +217,7 @@ def good_lines(lines: DataFrame, units: tuple) -> DataFrame:
                     rows += [(i, k, n, *g.rule.typed(c, n)) for k, (c, n) in enumerate(zip(g.lines.cells(line), names, strict=True))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, schema.types, strict=True)], schema=schema)
 
-    return spread(with_headers(lines)).mapInArrow(run, "line_id bigint, place int, ingredient string, value double, unit string")
+    return with_headers(lines).mapInArrow(run, "line_id bigint, place int, ingredient string, value double, unit string")
 
 
 def bad_cells(df: DataFrame, table: str, id_col: str, columns: dict[str, str], units: tuple) -> DataFrame:

@@ -46,7 +46,27 @@ def p5_loaded(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"p2_found": p2_found, "p2_units_linked": p2_units_linked, "p3_found": p3_found, "p5_found": p5_found, "p5_loaded": p5_loaded}
 
+_VALID = r"""(regexp_full_match({c}, '\s*0\s*') OR lower(regexp_extract({c}, '^\s*[0-9]+(?:[.,][0-9]+)? *(\S.*?)\s*$', 1)) IN (SELECT lower(unit_name) FROM measure_unit WHERE ingredient IS NULL)
+  OR lower(regexp_extract({c}, '^\s*[0-9]+(?:[.,][0-9]+)? *(\S.*?)\s*$', 1)) || '|' || {n} IN (SELECT lower(unit_name) || '|' || ingredient FROM measure_unit WHERE ingredient IS NOT NULL))"""
+
+
+def _bad(column: str, ingredient: str) -> str:
+    return f"{column} IS NOT NULL AND NOT {_VALID.format(c=column, n=repr(ingredient))}"
+
+
 ORACLES = {
+    "p5_found": rf"""
+WITH h AS (SELECT file_name, min_by(raw_line, line_id) AS head FROM measure_lines WHERE line_nr = 1 GROUP BY 1),
+hc AS (SELECT file_name, list_transform(string_split(head, ','), lambda x: lower(trim(replace(x, '"', '')))) AS names FROM h),
+l AS (SELECT line_id, raw_line, names FROM measure_lines LEFT JOIN hc USING (file_name) WHERE (line_nr IS NULL OR line_nr <> 1) AND regexp_replace(raw_line, '\s', '', 'g') <> ''),
+q AS (SELECT *, regexp_full_match(raw_line, '(?:"(?:[^"]|"")*"|[^",]*)(?:,(?:"(?:[^"]|"")*"|[^",]*))*') AS fine, len(regexp_replace(regexp_replace(raw_line, '"(?:[^"]|"")*"', '', 'g'), '[^,]', '', 'g')) + 1 AS n FROM l),
+c AS (SELECT line_id, unnest(regexp_extract_all(raw_line, '("(?:[^"]|"")*"|[^",]*)(?:,|$)', 1)[1:n]) AS cell, unnest(names) AS name FROM q WHERE fine AND n = len(names)),
+v AS (SELECT line_id, name, CASE WHEN cell LIKE '"%' THEN replace(cell[2:len(cell) - 1], '""', '"') ELSE cell END AS cell FROM c),
+b AS (SELECT DISTINCT line_id FROM v WHERE NOT {_VALID.format(c="cell", n="name")})
+SELECT 'measure_lines' AS record_table, line_id AS record_id, CASE WHEN NOT fine THEN 'quoting' WHEN names IS NULL OR n <> len(names) THEN 'column_count' ELSE 'value' END AS reason
+FROM q WHERE NOT fine OR names IS NULL OR n <> len(names) OR line_id IN (SELECT line_id FROM b)
+UNION ALL SELECT 'swedish_recipe_pannkisar', recipe_id, 'value' FROM swedish_recipe_pannkisar WHERE ({_bad("butter", "butter")}) OR ({_bad("salt", "salt")})
+UNION ALL SELECT 'crumble', recipe_id, 'value' FROM crumble WHERE {_bad("sugar", "sugar")}""",
     "p2_found": """
 WITH i AS (SELECT record_id, unnest(ingredients) AS x, generate_subscripts(ingredients, 1) - 1 AS pos FROM curated_recipes),
 s AS (SELECT record_id, unnest(sources) AS x, generate_subscripts(sources, 1) - 1 AS pos FROM curated_recipes)

@@ -306,13 +306,75 @@ def catalog_json(spark: SparkSession, d: str) -> DataFrame:
     return docs.select(back.alias("r")).select("r.record_id", "r.id", F.coalesce(F.size("r.ingredients"), F.lit(0)).cast("bigint").alias("n"))
 
 
+def _headers(spark: SparkSession, d: str) -> DataFrame:
+    lines = table(spark, d, "measure_lines").filter("line_nr = 1")
+    return lines.groupBy("file_name").agg(F.min_by("raw_line", "line_id").alias("head"))
+
+
+def header_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Ingredients of each file's header by place, names folded, quotes off."""
+    return _headers(spark, d).select("file_name", F.posexplode(F.split("head", ",")).alias("col_idx", "name")).select("file_name", "col_idx", F.lower(measures.strip(F.regexp_replace("name", '"', ""))).alias("ingredient"))
+
+
+def arity_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Lines whose plain commas give another number of cells than the header's."""
+    heads = _headers(spark, d).select("file_name", F.size(F.split("head", ",")).alias("expected"))
+    rows = table(spark, d, "measure_lines").filter("line_nr > 1").filter(measures.strip(F.col("raw_line")) != "")
+    return rows.join(heads, "file_name").select("line_id", F.size(F.split("raw_line", ",")).alias("n"), "expected").filter("n <> expected")
+
+
+def row_sums(spark: SparkSession, d: str) -> DataFrame:
+    f = _frame(spark, d)
+    return f.df.select("l_orderkey", _r(compose.row_sum(f.columns)).alias("total"))
+
+
+def interval_percent_of_mean(spark: SparkSession, d: str) -> DataFrame:
+    return _stats(spark, d).select("col_idx", _r(F.col("ci_half") / F.col("mean") * 100).alias("percent"))
+
+
+def total_weight(spark: SparkSession, d: str) -> DataFrame:
+    return _ratio(spark, d).agg(_r(F.sum("value") * 120).alias("total"))
+
+
+def restriction_ceiling(spark: SparkSession, d: str) -> DataFrame:
+    """The scale that the tightest of two limits allows."""
+    limits = spark.createDataFrame([("standard", 60.0), ("promo", 90.0)], "ingredient string, most double")
+    by = _ratio(spark, d).join(F.broadcast(limits), "ingredient").groupBy("ingredient").agg((F.first("most") / F.sum("value")).alias("scale"))
+    return by.agg(_r(F.min("scale")).alias("scale"))
+
+
+def measured_densities(spark: SparkSession, d: str) -> DataFrame:
+    """A density, else the gravity, above 0; here the gravity is what notes say as a number."""
+    raw = table(spark, d, "density").select(F.col("id").cast("string").alias("name"), F.col("g_per_ml").cast("string").alias("density"), F.col("notes").alias("specific_gravity"), "source").filter("density IS NULL OR density <> 'NaN'")
+    return registry.usable_densities(raw).select(F.col("name").cast("bigint").alias("id"), "g_per_ml", "source")
+
+
+def portions_of_foods(spark: SparkSession, d: str) -> DataFrame:
+    """Portions of foods with an fdc_id; others don't join."""
+    food = table(spark, d, "food").filter("fdc_id IS NOT NULL").select(F.col("id").alias("food_id"), "fdc_id")
+    return table(spark, d, "portion").select("id", "food_id", "unit_name").join(food, "food_id").select("id", "fdc_id", "unit_name")
+
+
+def portions_without_food(spark: SparkSession, d: str) -> DataFrame:
+    food = table(spark, d, "food").select(F.col("id").alias("food_id"))
+    return table(spark, d, "portion").join(food, "food_id", "left_anti").select("id")
+
+
+def density_or_default(spark: SparkSession, d: str) -> DataFrame:
+    """Every food with its density; 1.0 of source default where it has none from a measuring bench."""
+    picked = registry.picked_density(table(spark, d, "density").filter("food_id IS NOT NULL AND source = 'bench_test'"))
+    food = table(spark, d, "food").select(F.col("id").alias("food_id"))
+    return food.join(picked, "food_id", "left").select("food_id", F.coalesce("g_per_ml", F.lit(1.0)).alias("g_per_ml"), F.coalesce("source", F.lit("default")).alias("source"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         parse_measures, unit_to_grams, whole_unit_lookup, normalize_100, wide_pivot, to_long, distinct_compositions, merge_full, merge_partial, column_stats, ci_bounds, min_sample_size, sample_size, bakers_percentage, proportions,
         stats_by_status, zero_filtered_means, zero_imputed_stats, recipe_scaled, recipe_restricted, as_percentages, ingredient_values, grams_to_ml_pieces, ratio_diff, overall_diff, diff_ranked, format_ratio, union_files, table_counts,
         density_pick, density_alternatives, density_derived, food_ids, portion_filter, portion_per_unit, portion_pieces, default_piece, synonym_lookup, left_density_lookup, unmatched_aliases, first_writer_synonym, suggest_names,
-        short_names, upsert_measured, catalog_rows, catalog_violations, catalog_json,
+        short_names, upsert_measured, catalog_rows, catalog_violations, catalog_json, header_columns, arity_faults, row_sums, interval_percent_of_mean, total_weight, restriction_ceiling, measured_densities, portions_of_foods,
+        portions_without_food, density_or_default,
     )
 }
 

@@ -124,5 +124,22 @@ UNION ALL SELECT DISTINCT record_id, 'proportion' FROM i WHERE x.proportion < 0
 UNION ALL SELECT DISTINCT record_id, 'interval' FROM i WHERE x.ci_lower < 0 OR x.ci_upper < 0
 UNION ALL SELECT DISTINCT record_id, 'whole_unit' FROM i WHERE x.whole_unit.grams <= 0
 UNION ALL SELECT DISTINCT record_id, 'source_type' FROM s WHERE x.type NOT IN ('url', 'book', 'text')""",
+    "header_columns": f"""
+WITH h AS (SELECT file_name, min_by(raw_line, line_id) AS head FROM measure_lines WHERE line_nr = 1 GROUP BY 1),
+u AS (SELECT file_name, unnest(string_split(head, ',')) AS name, generate_subscripts(string_split(head, ','), 1) - 1 AS col_idx FROM h)
+SELECT file_name, CAST(col_idx AS INT) AS col_idx, lower({_STRIP.format("replace(name, '" + chr(34) + "', '')")}) AS ingredient FROM u""",
+    "arity_faults": f"""
+WITH h AS (SELECT file_name, len(string_split(min_by(raw_line, line_id), ',')) AS expected FROM measure_lines WHERE line_nr = 1 GROUP BY 1)
+SELECT line_id, len(string_split(raw_line, ',')) AS n, expected FROM measure_lines JOIN h USING (file_name) WHERE line_nr > 1 AND {_STRIP.format("raw_line")} <> '' AND len(string_split(raw_line, ',')) <> expected""",
+    "row_sums": _w(_F, f"SELECT l_orderkey, round({_SUM}, 6) AS total FROM f"),
+    "interval_percent_of_mean": _w(_A, "SELECT col_idx, round(ci_half / mean * 100, 6) AS percent FROM a"),
+    "total_weight": _w(_R, "SELECT round(sum(value) * 120, 6) AS total FROM r"),
+    "restriction_ceiling": _w(_R, "SELECT round(least((SELECT 60.0::DOUBLE / value FROM r WHERE ingredient = 'standard'), (SELECT 90.0::DOUBLE / value FROM r WHERE ingredient = 'promo')), 6) AS scale"),
+    "measured_densities": f"SELECT id, coalesce(g_per_ml, TRY_CAST(notes AS DOUBLE)) AS g_per_ml, 'fao/' || coalesce({_STRIP.format('source')}, '') AS source FROM density WHERE (g_per_ml IS NULL OR NOT isnan(g_per_ml)) AND coalesce(g_per_ml, TRY_CAST(notes AS DOUBLE)) > 0",
+    "portions_of_foods": "SELECT p.id, f.fdc_id, p.unit_name FROM portion p JOIN food f ON f.id = p.food_id WHERE f.fdc_id IS NOT NULL",
+    "portions_without_food": "SELECT id FROM portion p WHERE NOT EXISTS (SELECT 1 FROM food f WHERE f.id = p.food_id)",
+    "density_or_default": f"""
+WITH p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY food_id ORDER BY {_RANK}, id) AS k FROM density WHERE food_id IS NOT NULL AND source = 'bench_test' AND NOT isnan(g_per_ml)) WHERE k = 1)
+SELECT f.id AS food_id, coalesce(p.g_per_ml, 1.0::DOUBLE) AS g_per_ml, coalesce(p.source, 'default') AS source FROM food f LEFT JOIN p ON p.food_id = f.id""",
     "catalog_json": "SELECT record_id, id, coalesce(len(ingredients), 0) AS n FROM curated_recipes",
 }

@@ -79,7 +79,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Deals rows to all cores where the scan has fewer splits than there are cores.
 
     Only an input of a few small files is affected: a large one has more splits
-    than cores and passes unchanged, without a shuffle.
+    than cores and passes unchanged, without a shuffle. Meant for scans: the
+    splits of a plan with shuffles are known only once it has run.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
