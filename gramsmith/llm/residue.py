@@ -25,7 +25,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,8 @@ PARTS = 4  # tables of 16 bits each
 NONE, WHOLE, WITHIN = 0, 1, 2
 
 _CUT = re.compile(r"[\r\n\v\f  \x85]+|(?<=[.!?])\s+")
-_WORD = regex.compile(r"[\p{L}\p{N}]+")
+_WORD = re.compile(r"[^\W_]+")
+_MARKS, _INVISIBLE = regex.compile(r"[\p{M}\p{Cf}]+"), regex.compile(r"\p{Cf}+")
 _DIGITS = re.compile(r"\d+")
 
 # ---- Fixed values: the signs and words of residue ----------------------------------------------
@@ -122,11 +123,12 @@ SCRIPTS = re.compile(
     r"|^\W*(?:aktivera|tillat|sla pa) (?:javascript|java script|skript|det)\b"
     r"|\bveuillez activer (?:javascript|les scripts)\b|\bbitte aktivieren sie (?:javascript|skripte)\b|\bbitte (?:javascript|skripte) aktivieren\b"
 )
-#: A text without any of these can't hold residue of the grammar; saves the rest of the work.
-_TRIGGER = re.compile(
-    r"[{}<>@]|\[|%[^\W\d]|__|&lt;|&#|undefined|null|\bnan\b|todo|fixme|\btb[dca]\b|lorem|ipsum|consequat|aliqu|nostrud|laboris|ullamco|consectetur|eiusmod|text|blah|dummy|copy|paragraph|descri|beskriv|beschreib|innehall"
-    r"|error|felkod|fehler|erreur|\bfel\b|http|request|denied|expired|log in|traceback|went wrong|division|find the page|page|recipe|resource|address|status|incident|reload|webmaster|seite|introuvable|sidan|adressen|find the|removed|forbidden|not found|too many|maintenance|check back|unavailable|forsok|serverfel|code|exception|script|\bjs\b|skript|browser|webblasar|work properly|sla pa|gateway|file \""
-)
+#: A segment without any of these can't hold residue of the grammar; saves the rest of the work.
+TRIGGERS = (
+    "{ } < > @ [ % __ &lt; &# undefined null nan todo fixme tbd tbc tba lorem ipsum consequat aliqu nostrud laboris ullamco consectetur eiusmod text blah dummy copy paragraph descri beskriv beschreib innehall "
+    "error felkod fehler erreur fel http request denied expired traceback division page recipe resource address status incident reload webmaster seite introuvable sidan forsok serverfel code exception removed "
+    "forbidden maintenance unavailable script js skript browser webblasar gateway sla"
+).split() + ["log in", "went wrong", "find the", "file \"", "check back", "not found", "too many", "work properly"]
 # -------------------------------------------------------------------------------------------------
 
 
@@ -134,14 +136,14 @@ def flat(text: str) -> str:
     """Compatibility forms without case and marks; invisible characters and odd blanks removed."""
     if text.isascii():
         return text.lower()
-    return "".join(c for c in unicodedata.normalize("NFKD", text.casefold()) if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
+    return _MARKS.sub("", unicodedata.normalize("NFKD", text.casefold()))
 
 
 def visible(text: str) -> str:
     """Entities resolved and compatibility forms, case kept."""
     if "&" in text:
         text = html.unescape(text)
-    return text if text.isascii() else "".join(c for c in unicodedata.normalize("NFKC", text) if unicodedata.category(c) != "Cf")
+    return text if text.isascii() else _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
 
 
 def segments(text: str) -> list[str]:
@@ -179,38 +181,62 @@ def _filler(words: list[str]) -> bool:
     return bool(words) and len(words) <= 5 and all(w in LOREM for w in words) and any(w in ("lorem", "ipsum") for w in words)
 
 
-def judge(seg: str) -> int:
-    """NONE, WHOLE (the segment is residue) or WITHIN (a placeholder stands in it)."""
+def judge(seg: str, triggers: Sequence[str] = TRIGGERS) -> int:
+    """NONE, WHOLE (the segment is residue) or WITHIN (a placeholder stands in it). triggers: those that the text has."""
     low = flat(_KNOWN_TAG.sub(" ", seg) if "<" in seg else seg)
-    if not _TRIGGER.search(low):
+    if not any(map(low.__contains__, triggers)):
         return NONE
     if _filler(_WORD.findall(low)) or ANNOUNCED.fullmatch(low) or ANNOUNCING.search(low) or UNSET_SURE.search(low) or len(UNSET.findall(low)) >= 2 or ERRORS.search(low) or SCRIPTS.search(low):
         return WHOLE
     return WITHIN if _placeholder(seg) else NONE
 
 
-_word_bits: dict[str, int] = {}
+class _Votes:
+    """Bits of words as 64 counters of a byte each, in eight numbers, so that sums of words are sums of numbers."""
+
+    SIZE = 1 << 17
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.lanes = np.zeros((self.SIZE, 8), dtype=np.uint64)
+
+    def places(self, texts: list[list[str]]) -> np.ndarray:
+        place, new, out = self.place, [], []
+        for ws in texts:
+            for w in ws:
+                k = place.get(w)
+                if k is None:
+                    k = place[w] = len(place)
+                    new.append(w)
+                out.append(k)
+        if len(place) > len(self.lanes):
+            self.lanes = np.concatenate([self.lanes, np.zeros((len(place), 8), dtype=np.uint64)])
+        if new:
+            hashes = np.array([xxhash.xxh64_intdigest(w) for w in new], dtype="<u8")
+            self.lanes[len(place) - len(new) : len(place)] = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view("<u8")
+        return np.array(out)
+
+
+_votes = _Votes()
+#: Counters of a byte hold the votes of as many words; longer segments are summed in pieces.
+_PIECE = 255
 
 
 def simhashes(texts: list[list[str]]) -> np.ndarray:
     """64-bit SimHashes of lists of words, each of one word at least."""
-    if len(_word_bits) > 300_000:
-        _word_bits.clear()
-    hashes = []
-    for ws in texts:
-        for w in ws:
-            h = _word_bits.get(w)
-            if h is None:
-                h = _word_bits[w] = xxhash.xxh64_intdigest(w)
-            hashes.append(h)
-    result = np.zeros(len(texts), dtype=np.uint64)
+    global _votes
+    if len(_votes.place) > 300_000:
+        _votes = _Votes()
+    if not texts:
+        return np.zeros(0, dtype=np.uint64)
+    pieces = [t[k : k + _PIECE] for t in texts for k in range(0, len(t), _PIECE)]
+    starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])[:-1]])
+    counts = np.add.reduceat(_votes.lanes[_votes.places(pieces)], starts, axis=0).view(np.uint8)
     sizes = np.array([len(t) for t in texts])
-    bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    if len(texts):
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        votes = np.add.reduceat(bits.astype(np.int32), starts, axis=0)
-        result = np.packbits(votes * 2 > sizes[:, None], axis=1, bitorder="little").view("<u8").ravel()
-    return result
+    if len(pieces) > len(texts):
+        first = np.concatenate([[0], np.cumsum(-(-sizes // _PIECE))[:-1]])
+        counts = np.add.reduceat(counts.astype(np.int64), first, axis=0)
+    return np.packbits(counts * np.int64(2) > sizes[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
 SEGMENT_SCHEMA = "doc_id bigint, seg bigint, sim bigint, kind int, words string"
@@ -234,8 +260,11 @@ def cut_segments(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if not t or i is None:
                     continue
-                for s in set(segments(visible(t))):
-                    kind, words = judge(s), _WORD.findall(_DIGITS.sub("0", flat(s)))
+                shown = visible(t)
+                low = flat(shown)
+                triggers = [x for x in TRIGGERS if x in low or " " in x]
+                for s in set(segments(shown)):
+                    kind, words = judge(s, triggers), _WORD.findall(_DIGITS.sub("0", flat(s)))
                     if kind or len(words) >= SHINGLE:
                         rows.append((i, kind, words or [""]))
                 if len(rows) >= _CHUNK:
@@ -292,7 +321,8 @@ def residue(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     The segments are written once to the shared checkpoint folder.
     """
     rows = written(cut_segments(docs, doc_id, text))
-    segs = rows.groupBy("seg").agg(F.max("kind").alias("kind"), F.first("sim").alias("sim"), F.first("words").alias("words"))
+    # seg determines sim and words; as keys they allow a hash aggregation.
+    segs = rows.groupBy("seg", "sim", "words").agg(F.max("kind").alias("kind"))
     whole = spread_labels(written(segs))
     within = rows.filter(F.col("kind") == WITHIN).select("doc_id")
     return rows.join(broadcast_if_small(whole), "seg", "left_semi").select("doc_id").unionByName(within).distinct()
