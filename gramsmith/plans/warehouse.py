@@ -31,7 +31,7 @@ def _text() -> Column:
 
 def _measures(spark: SparkSession, d: str, *more: str) -> DataFrame:
     """Lines with their parsed measure as p."""
-    lines = spread(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", *more))
+    lines = spread(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", *more), "l_orderkey")
     return lines.select("l_orderkey", "l_linenumber", "l_partkey", *more, measures.parse(_text()).alias("p"))
 
 

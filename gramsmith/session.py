@@ -75,15 +75,18 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deals rows to all cores where the scan has fewer splits than there are cores.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals rows to all cores where the scan has fewer splits than half the cores.
+
+    With keys by their hash, which saves the sort of a round robin and a later
+    exchange on them; the keys must be many.
 
     Only an input of a few small files is affected: a large one has more splits
     than cores and passes unchanged, without a shuffle. Meant for scans: the
     splits of a plan with shuffles are known only once it has run.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def small_rows(df: DataFrame, columns: Iterable[str], limit: int = SMALL_ROWS) -> list | None:
