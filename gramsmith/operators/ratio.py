@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gramsmith.errors import InvalidInput
 from gramsmith.operators.compose import ColumnId, places
+from gramsmith.session import broadcast_if_small
 from gramsmith.sources.registry import Ingredient
 
 
@@ -61,7 +62,7 @@ def scaled(ratio: DataFrame, weight: float, limits: DataFrame | None, *keys: str
     total = F.lit(float(weight)) / F.nullif(F.sum("value").over(Window.partitionBy(*keys)), F.lit(0.0))
     if limits is None:
         return ratio.withColumn("grams", F.col("value") * total)
-    named = ratio.join(F.broadcast(limits.select(F.col("name").alias("ingredient"), F.col("grams").alias("most")).limit(10_000)), "ingredient", "left")
+    named = ratio.join(broadcast_if_small(limits.select(F.col("name").alias("ingredient"), F.col("grams").alias("most"))), "ingredient", "left")
     part = F.sum("value").over(Window.partitionBy(*keys, "ingredient"))
     named = named.withColumn("ceiling", F.when(part > 0, F.col("most") / part))
     by = F.least(total, F.min("ceiling").over(Window.partitionBy(*keys)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gramsmith.functions import measures
 from gramsmith.operators import catalog, compose, ratio, stats
-from gramsmith.session import spread, table
+from gramsmith.session import broadcast_if_small, spread, table
 from gramsmith.sources import registry
 from gramsmith.sources.recipes import Frame
 from gramsmith.sources.registry import Ingredient
@@ -264,7 +264,7 @@ def unmatched_aliases(spark: SparkSession, d: str) -> DataFrame:
     """Typed names that are the name of no food, case and outer blanks apart."""
     t = _tables(spark, d)
     food = t.food.select(F.lower(measures.strip(F.col("name"))).alias("key")).distinct()
-    return t.synonym.filter("name IS NOT NULL").withColumn("key", F.lower(measures.strip(F.col("name")))).join(F.broadcast(food.limit(100_000)), "key", "left_anti").select("id", "name")
+    return t.synonym.filter("name IS NOT NULL").withColumn("key", F.lower(measures.strip(F.col("name")))).join(broadcast_if_small(food), "key", "left_anti").select("id", "name")
 
 
 def first_writer_synonym(spark: SparkSession, d: str) -> DataFrame:
@@ -339,7 +339,7 @@ def total_weight(spark: SparkSession, d: str) -> DataFrame:
 def restriction_ceiling(spark: SparkSession, d: str) -> DataFrame:
     """The scale that the tightest of two limits allows."""
     limits = spark.createDataFrame([("standard", 60.0), ("promo", 90.0)], "ingredient string, most double")
-    by = _ratio(spark, d).join(F.broadcast(limits), "ingredient").groupBy("ingredient").agg((F.first("most") / F.sum("value")).alias("scale"))
+    by = _ratio(spark, d).join(broadcast_if_small(limits), "ingredient").groupBy("ingredient").agg((F.first("most") / F.sum("value")).alias("scale"))
     return by.agg(_r(F.min("scale")).alias("scale"))
 
 
