@@ -65,6 +65,10 @@ PLACEHOLDERS = re.compile(
     ),
     re.I,
 )
+#: A slot to fill: an imperative or possessive opener and a slot name, all in capitals or the name that of a variable.
+SLOT = re.compile(r"\[\s*([^\W\d_]+)\s+(?:in\s+)?((?:[\w.\-]+\s+){0,3}[\w.\-]+)\s*\]", re.I)
+SLOT_OPENERS = set("add your our my fill type write put choose select pick specify provide replace paste din ditt dina fyll välj lägg".split())
+_VARIABLE = re.compile(r"[^\W\d]+(?:[_.][^\W_]+)+")
 UNDERSCORED = re.compile(rf"(?<![\w])__({_NAME}?)__(?!\w)")
 ANGLED = re.compile(r"<([^\W\d_][\w.]*(?:[ _.\-][\w.]+)?)>")
 HTML_TAGS = set(
@@ -153,6 +157,9 @@ def segments(text: str) -> list[str]:
 def _placeholder(seg: str) -> bool:
     if PLACEHOLDERS.search(seg):
         return True
+    for m in SLOT.finditer(seg):
+        if m[1].lower() in SLOT_OPENERS and (m[0].isupper() or _VARIABLE.fullmatch(m[2])):
+            return True
     for m in UNDERSCORED.finditer(seg):
         if m[1].isupper() or "_" in m[1] or "." in m[1] or seg == seg.lower():
             return True

@@ -84,3 +84,10 @@ def test_shingles(spark):
 @pytest.mark.parametrize("text,parts", [("a. B!  c\r\n\r\nd e", ["a.", "B!", "c", "d", "e"]), ("", []), (" \n ", [])])
 def test_segments(text, parts):
     assert R.segments(text) == parts
+
+
+def test_slots_in_brackets(spark):
+    """The first two are documents 1275 and 6778 of sf0.1 around their slots."""
+    slots = ["Whisk well.\n[YOUR RATIO] \nServe.", "I can make the batter in about forty [ADD RATIO]", "[ADD AMOUNT] of flour", "By [YOUR AUTHOR].", "[ADD PORTION.NAME]", "[YOUR\u00a0MÄNGD]", "[FILL IN COOK_TIME]", "[add first_name] bakes"]
+    earnest = ["[optional]", "[page break]", "[edit: fixed the butter amount]", "[add more milk if it is thick]", "[your choice of jam]", "[OPTIONAL]", "[PAGE BREAK]", "[EDIT: FIXED THE BUTTER AMOUNT]", "ADD RATIO", "[Add 1.5 dl]"]
+    assert found(spark, slots + earnest) == set(range(len(slots)))
