@@ -91,3 +91,68 @@ def test_slots_in_brackets(spark):
     slots = ["Whisk well.\n[YOUR RATIO] \nServe.", "I can make the batter in about forty [ADD RATIO]", "[ADD AMOUNT] of flour", "By [YOUR AUTHOR].", "[ADD PORTION.NAME]", "[YOUR\u00a0MÄNGD]", "[FILL IN COOK_TIME]", "[add first_name] bakes"]
     earnest = ["[optional]", "[page break]", "[edit: fixed the butter amount]", "[add more milk if it is thick]", "[your choice of jam]", "[OPTIONAL]", "[PAGE BREAK]", "[EDIT: FIXED THE BUTTER AMOUNT]", "ADD RATIO", "[Add 1.5 dl]"]
     assert found(spark, slots + earnest) == set(range(len(slots)))
+
+
+def covered(tree) -> bool:
+    """Whether every text that a parsed pattern matches holds a trigger: proved alternative by alternative."""
+    return stretches(tree)[1]
+
+
+def stretches(tree):
+    """(the texts that a pattern stands for if they are few, else None; whether each match holds a trigger)."""
+
+    def holds(texts):
+        return all(any(t in R.flat(x) for t in R.TRIGGERS) for x in texts)
+
+    run, done, whole = {""}, False, True
+    for op, arg in tree:
+        name, texts, sure = str(op), None, False
+        if name == "LITERAL":
+            texts = {chr(arg)}
+        elif name == "IN" and all(str(o) == "LITERAL" for o, _ in arg):
+            texts = {chr(c) for _, c in arg}
+        elif name == "AT" or name.startswith("ASSERT"):
+            texts = {""}
+        elif name == "SUBPATTERN":
+            texts, sure = stretches(arg[3])
+        elif name == "BRANCH":
+            parts = [stretches(x) for x in arg[1]]
+            texts, sure = (set().union(*(t for t, _ in parts)) if all(t is not None for t, _ in parts) else None), all(s for _, s in parts)
+        elif name.endswith("REPEAT"):
+            low, high, body = arg
+            inner, inner_sure = stretches(body)
+            sure = low >= 1 and inner_sure
+            if inner is not None and (low, high) in ((0, 1), (1, 1)):
+                texts = inner | ({""} if low == 0 else set())
+        done = done or sure
+        if texts is None or len(run) * len(texts) > 20_000:
+            done, run, whole = done or holds(run), {""}, False
+        else:
+            run = {a + b for a in run for b in texts}
+    return (run if whole else None), done or holds(run)
+
+
+@pytest.mark.parametrize("name", ["PLACEHOLDERS", "SLOT", "UNDERSCORED", "ANGLED", "ANNOUNCED", "ANNOUNCING", "UNSET", "UNSET_SURE", "ERRORS", "SCRIPTS"])
+def test_each_alternative_has_a_trigger(name):
+    from re import _parser
+
+    pattern = getattr(R, name)
+    tree = _parser.parse(pattern.pattern, pattern.flags & ~32)
+    assert not any(" " in t for t in R.TRIGGERS)
+    parts = [x for op, arg in tree for x in (arg[1] if str(op) == "BRANCH" else [])] if len(tree) == 1 else []
+    assert [str(list(x))[:300] for x in parts if not covered(x)] == []
+    assert parts or covered(tree)
+
+
+UNTRIGGERED = [
+    "Image coming soon", "Content coming soon", "Contenu à venir", "Add your content here", "This content is not available.", "This site cannot be displayed.", "The document no longer exists.", "The file does not exist.", "410 Gone",
+    "Segmentation fault", "You do not have permission to view this.", "Excepteur sint occaecat cupidatat non proident, sunt in culpa qui offici", "har har har har har har", "kommer har kommer har", "filler sample filler sample", '<a href="{{ url }}">soup</a>',
+]
+
+
+def test_judge_agrees_without_prefilter():
+    for text in [*UNTRIGGERED, *(s for t in RESIDUE + EARNEST for s in R.segments(R.visible(t)))]:
+        assert R.judge(text) == R.judge(text, ("",)), text
+    assert all(map(R.judge, UNTRIGGERED))
+    for word in R.LOREM_SURE:  # any three sure words in a row of five make filler
+        assert R.judge(f"{word} et {word} in {word}") == R.WHOLE
