@@ -4,10 +4,10 @@ Texts are cut into segments (lines, and sentences within them). Segments that a
 grammar of residue accepts are trusted labels: unfilled placeholders, filler,
 announcements of missing text, printed unset values, error messages, demands for
 scripts. All distinct segments get a SimHash of their words; tables of its four
-16-bit parts find the segments near a trusted one (all within 3 bits, by the
-pigeonhole principle, and many further ones), which are confirmed by Hamming
-distance and by the Jaccard similarity of their five-word shingles. What is
-confirmed joins the component of the label and is searched from in turn, until
+16-bit parts find segments near a trusted one (all within 3 bits, by the
+pigeonhole principle, and many further ones). A prefix filter on five-word
+shingles finds all that are similar enough, whatever their SimHash. Both are
+confirmed by the Jaccard similarity of their shingles. What is confirmed joins the component of the label and is searched from in turn, until
 nothing joins: the labels so reach whole connected components, while components
 without a label are never built. A document that holds a labelled segment is
 residue.
@@ -309,6 +309,22 @@ def shingles(words: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(ws) - SHINGLE), lambda k: F.concat_ws(" ", F.slice(ws, k + 1, SHINGLE))))
 
 
+def _prefixes(df: DataFrame) -> DataFrame:
+    """seg, size, key: the size // 5 + 1 least hashes of a segment's shingles.
+
+    Of two segments of Jaccard similarity 4/5 at least, each lacks a fifth of its
+    shingles at most in the other, so the least hash that both have is among
+    these on both sides: equal keys find every such pair.
+    """
+    hashes = df.select("seg", F.sort_array(F.transform(shingles(F.col("words")), lambda s: F.xxhash64(s))).alias("hashes"))
+    size = F.size("hashes")
+    return hashes.select("seg", size.alias("size"), F.explode(F.slice("hashes", F.lit(1), F.floor(size / 5).cast("int") + 1)).alias("key"))
+
+
+def _alike_in_size(a: Column, b: Column) -> Column:
+    return (a * 5 >= b * 4) & (b * 5 >= a * 4)
+
+
 def spread_labels(segs: DataFrame) -> DataFrame:
     """Segments (seg) that a trusted label reaches over near-duplicates, the trusted ones included."""
     long = segs.filter(F.size(F.split("words", " ")) >= SHINGLE)
@@ -316,8 +332,11 @@ def spread_labels(segs: DataFrame) -> DataFrame:
     frontier, reached = long.filter(F.col("kind") == WHOLE), [labelled]
     open_ = long.filter(F.col("kind") == NONE)
     while True:
-        near = _tables(frontier).alias("a").join(_tables(open_).alias("b"), ["part", "key"])
-        near = near.filter(F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= HAMMING).select(F.col("a.seg").alias("from_seg"), F.col("b.seg").alias("to_seg")).distinct()
+        ends = F.col("a.seg").alias("from_seg"), F.col("b.seg").alias("to_seg")
+        near = broadcast_if_small(_tables(frontier)).alias("a").join(_tables(open_).alias("b"), ["part", "key"])
+        near = near.filter(F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= HAMMING).select(*ends)
+        like = broadcast_if_small(_prefixes(frontier)).alias("a").join(_prefixes(open_).alias("b"), "key")
+        near = near.unionByName(like.filter(_alike_in_size(F.col("a.size"), F.col("b.size"))).select(*ends)).distinct()
         a = frontier.select(F.col("seg").alias("from_seg"), F.col("words").alias("from_words"))
         b = open_.select(F.col("seg").alias("to_seg"), F.col("words").alias("to_words"))
         pairs = near.join(a, "from_seg").join(b, "to_seg").select("to_seg", shingles(F.col("from_words")).alias("x"), shingles(F.col("to_words")).alias("y"))

@@ -156,3 +156,30 @@ def test_judge_agrees_without_prefilter():
     assert all(map(R.judge, UNTRIGGERED))
     for word in R.LOREM_SURE:  # any three sure words in a row of five make filler
         assert R.judge(f"{word} et {word} in {word}") == R.WHOLE
+
+
+def planted(seed=7, n=60):
+    """Pairs of a label and a near-duplicate: words appended or exchanged, of a similarity around 0.8."""
+    r = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    pairs = []
+    for size, more, exchanged in ((20, 3, 0), (24, 4, 0), (55, 0, 1), (9, 1, 0), (9, 2, 0), (40, 9, 0), (20, 5, 0)):
+        for _ in range(n):
+            a = r.choices(vocabulary, k=size)
+            b = a + r.choices(vocabulary, k=more)
+            for _ in range(exchanged):
+                b[r.randrange(len(b))] = "other"
+            pairs.append((a, b))
+    return pairs
+
+
+def test_near_duplicates_against_brute_force(spark):
+    pairs = planted()
+    texts = [t for pair in pairs for t in pair]
+    sims = R.simhashes(texts).view("int64")
+    rows = [(k, int(sims[k]), R.NONE if k % 2 else R.WHOLE, " ".join(t)) for k, t in enumerate(texts)]
+    segs = spark.createDataFrame(rows, "seg bigint, sim bigint, kind int, words string")
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    near = {k for k in range(1, len(texts), 2) if len(sets[k] & sets[k - 1]) >= 0.8 * len(sets[k] | sets[k - 1])}
+    assert 200 < len(near) < len(pairs)
+    assert {r["seg"] for r in R.spread_labels(segs).collect()} == near | set(range(0, len(texts), 2))
