@@ -101,12 +101,17 @@ class TemplateIndex:
         self.of_word = {w: (self.code[kind(w, self.names)], e) for w, e in self.exact.items()}
 
     def read(self, text: str) -> tuple[list[int], list[int]]:
-        """Codes of the canonical and of the exact words of a text; -1 and -2 where no item has the word."""
+        """Codes of the canonical and of the exact words of a text; negative where no item has the word.
+
+        Slot words that no item has get a code each, so that equal ones can be told from different ones.
+        """
         canon, exact = [], []
+        new: dict[str, int] = {}
         of, code = self.of_word, self.code
         for w in words(text):
             if (c := of.get(w)) is None:
-                c = (code.get(kind(w, self.names), -1), -2)
+                c = code.get(kind(w, self.names), -1)
+                c = (c, -2 if c < 0 else new.setdefault(w, -3 - len(new)))
             canon.append(c[0])
             exact.append(c[1])
         return canon, exact
@@ -149,7 +154,11 @@ class TemplateIndex:
         return sorted({self.items[k][0] for k in found})
 
     def templates(self, text: str) -> list[tuple[int, int]]:
-        """Items of which SPAN canonical words stand in the text with consistent slots, and how many slot values differ."""
+        """Items of which SPAN canonical words stand in the text with consistent slots, and how many slot values differ.
+
+        The slots are those of the whole run of canonical words that both have: a run in which one value became several is
+        no instance, even if SPAN words of it would be consistent.
+        """
         canon, exact = self.read(text)
         best: dict[int, int] = {}
         reach: dict[tuple[int, int], int] = {}
@@ -172,7 +181,7 @@ def _consistent(slots: list[tuple[int, int, int]]) -> int | None:
     """How many distinct slot values differ, or None if one value became several."""
     became: dict[tuple[int, int], int] = {}
     for mine, theirs, typed in slots:
-        if became.setdefault((typed, mine), theirs) != theirs and theirs != -2:
+        if became.setdefault((typed, mine), theirs) != theirs:
             return None
     return sum(m != t for (_, m), t in became.items())
 

@@ -94,3 +94,11 @@ def test_templates_check_slots(spark):
     got = sorted(map(tuple, L.templates(df, "doc_id", "text", items, "item_id", "text").collect()))
     assert got == [(1, 1, 3), (2, 2, 0)]  # one value that became two is no instance
     assert search(spark, [changed]) == [(0, 1)]  # twelve words between the changes stand word for word
+
+
+def test_values_that_no_item_has_are_told_apart():
+    item = "mix 20 of rye and 20 of oat and 20 of corn and 20 of malt"
+    index = L.TemplateIndex([(1, item)])
+    assert index.templates(item) == [(1, 0)]
+    assert index.templates(item.replace("20", "30")) == [(1, 1)]
+    assert index.templates("mix 31 of rye and 32 of oat and 33 of corn and 34 of malt") == []
