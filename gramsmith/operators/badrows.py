@@ -8,11 +8,11 @@ A recursive-descent grammar of measure lines::
     plain   = (any but "," and '"')*
     measure = blank* ("0" | digits [("." | ",") digits] " "* unit) blank*
 
-A syntax error names its place. In a block of lines the parser recovers at the
-next record-start anchor: a line start after which a line follows that the
-grammar accepts with the right number of cells; a quoted cell may hold line
-ends only up to such an anchor, so one broken quote costs one record and not the
-rest of the file.
+A syntax error names its place. A cell ends with its line: a quoted cell that
+runs over a line end is a quoting fault. The queries judge each line alone. In a
+block of lines (RecordGrammar.block) the parser recovers after a broken quote at
+the next record-start anchor, a line that parses with the right number of cells,
+so one broken quote costs the lines up to there and not the rest of the file.
 """
 
 from __future__ import annotations
