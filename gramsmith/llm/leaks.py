@@ -33,7 +33,8 @@ from gramsmith.session import SMALL_ROWS, spread
 
 SPAN = 12
 WINDOW = 6
-_TAG = regex.compile(r"</?[a-zA-Z][^<>]{0,200}>|<!--.*?-->", regex.S)
+# Of any length where attributes follow its name; a bracket within prose that happens to be closed much later is no tag.
+_TAG = regex.compile(r"</?[a-zA-Z](?:[^<>]{0,200}|[\w:.\-]*(?:\s+[\w:@.\-]+)*\s*=[^<>]*)>|<!--.*?-->", regex.S)
 # Words with inner hyphens and apostrophes are one word; underscores are markup.
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+(?:['’\-‐‑­][\p{L}\p{M}\p{N}]+)*")
 _INNER = regex.compile(r"['’\-‐‑­]|\p{M}")

@@ -102,3 +102,11 @@ def test_values_that_no_item_has_are_told_apart():
     assert index.templates(item) == [(1, 0)]
     assert index.templates(item.replace("20", "30")) == [(1, 1)]
     assert index.templates("mix 31 of rye and 32 of oat and 33 of corn and 34 of malt") == []
+
+
+def test_tags_of_any_length_are_markup():
+    for tag in ('<a href="/x?' + "y" * 5000 + '">', '<img hidden src="data:image/png;base64,' + "A9 " * 3000 + '"/>', "<p style='" + "color: red; " * 50 + "'>", "<b>", "</div >"):
+        assert L.words(f"rye {tag} oat") == ["rye", "oat"]
+    prose = "with x <y then " + "flour and milk " * 30 + "> z"
+    assert len(L.words(prose)) == len(prose.replace("<", "").replace(">", "").split())
+    assert len(L.words("<a b " * 20_000)) == 40_000
