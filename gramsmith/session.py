@@ -89,6 +89,17 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals few but CPU-heavy rows of a plan with shuffles to all cores, by the hash of keys that are many.
+
+    Adaptive execution joins small partitions into one task, which would do all
+    of the work that Python has with them. Spark drops a repartition by keys that
+    are those of the exchange before it, but not one by their hash.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), F.xxhash64(*keys))
+
+
 def small_rows(df: DataFrame, columns: Iterable[str], limit: int = SMALL_ROWS) -> list | None:
     """The rows of a side if there are at most ``limit``, else None.
 
