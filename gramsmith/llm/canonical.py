@@ -1,41 +1,45 @@
 """Freely typed names to the entries of a reference list (problem 4).
 
 Token-level repair: each distinct token of the names is joined to the
-vocabulary of the reference by edit distance (an index of deletions finds the
-pairs, Damerau–Levenshtein confirms them; a token with vowels left out matches
-by its consonants). The corrected tokens are then combined by soft TF-IDF to
-rank whole entries.
+vocabulary of the reference by edit distance. Tokens and words meet on keys that
+no pair within the allowed number of errors can miss (see ``word_keys``), and
+Damerau–Levenshtein confirms them; a token with vowels left out meets its word on
+the consonants. The corrected tokens are then combined by soft TF-IDF to rank
+whole entries.
 
 A name means an entry if nearly all of the entry's weight is found in it and
 nothing of weight is left over but words of wrapping (organic, about 2 dl, …); or
 if what stands before the entry's comma is found, and no other entry begins so.
 
-The reference goes to the workers in blocks of a checked size, with document
-frequencies and unique beginnings of the whole reference; the best entry of all
-blocks wins. Names are read in place, without a shuffle unless there is more
-than one block. A worker scores a distinct name once.
+There is one path for references of every size. Distinct tokens, words, names
+and entries meet in joins; a side is broadcast only where a count shows that it
+is small, and that changes nothing but the physical join. An entry is opened only
+by its rarest tokens, without one of which it can't win (see ``_postings``), so a
+common token doesn't open all its entries. A distinct name is scored once, in
+rows of a name and an entry that are never gathered in one task. Counts, weights
+and unique beginnings are those of the whole reference.
 """
 
 from __future__ import annotations
 
 import math
 import unicodedata
-import uuid
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramsmith.session import SMALL_ROWS, spread
+from gramsmith.session import SMALL_ROWS, broadcast_if_small, dealt, spread
 
 MEMO = 200_000
 #: Parts of an entry's weight that must be found, and of a name's weight that must be used.
 COVERED = 0.84
 USED = 0.70
 TYPO_COST = 0.12
+#: The least similarity of neighbours that are joined to one token: two errors, or vowels left out.
+TOGETHER = 0.75
 # A hyphenated word is one token, and so is one with an apostrophe.
 _TOKEN = regex.compile(r"\p{L}+(?:[-'’‐‑]\p{L}+)*|\p{N}+")
 _VOWELS = set("aeiouyåäö")
@@ -48,6 +52,8 @@ WRAPPING = set(
 
 def plain(text: str) -> str:
     """Case and diacritical marks don't count."""
+    if text.isascii():
+        return text.lower()
     return "".join(c for c in unicodedata.normalize("NFKD", text.casefold()) if not unicodedata.combining(c))
 
 
@@ -55,7 +61,7 @@ _WRAPPING = {plain(w) for w in WRAPPING}
 
 
 def tokens(text: str) -> list[str]:
-    return [w if w.isalnum() else "".join(c for c in w if c.isalnum()) for w in _TOKEN.findall(plain(text))]
+    return [t for w in _TOKEN.findall(plain(text)) if (t := w if w.isalnum() else "".join(c for c in w if c.isalnum()))]
 
 
 def distance(a: str, b: str, limit: int) -> int:
@@ -82,10 +88,11 @@ def allowed(length: int) -> int:
 
 
 def deletions(word: str, n: int) -> set[str]:
-    found, last = {word}, {word}
+    """What is left of a word after n deletions at most; each choice of letters is made once, from left to right."""
+    found, last = {word}, [(word, 0)]
     for _ in range(n):
-        last = {w[:k] + w[k + 1 :] for w in last for k in range(len(w))}
-        found |= last
+        last = [(w[:k] + w[k + 1 :], k) for w, at in last for k in range(at, len(w))]
+        found.update([w for w, _ in last])
     return found
 
 
@@ -93,40 +100,78 @@ def skeleton(word: str) -> str:
     return "".join(c for c in word if c not in _VOWELS)
 
 
+#: Words up to this length meet on deletions, longer ones on pieces.
+SHORT = 20
+ERRORS = 3  # the most that allowed() gives
+PIECES = 2 * ERRORS + 1
+
+
+def word_keys(word: str) -> set[str]:
+    """Keys of a word of the vocabulary; every token it may stand for has one of them in ``token_keys``.
+
+    Short words: all that is left after as many deletions as errors are allowed.
+    With d errors (a transposition is one) a token and a word have a string in
+    common that each gives after d deletions. Long words: seven pieces by place.
+    Three errors touch six pieces at most, as one error touches two neighbours at
+    most, so one piece stands unchanged, moved by three letters at most. Besides,
+    the consonants.
+    """
+    keys = {"s" + skeleton(word)}
+    if len(word) <= SHORT:
+        return keys | {"d" + x for x in deletions(word, allowed(len(word)))}
+    cuts = _cuts(len(word))
+    return keys | {f"p{k} {word[a:b]}" for k, (a, b) in enumerate(zip(cuts, cuts[1:]))}
+
+
+def token_keys(token: str, longest: int, most: int = ERRORS) -> set[str]:
+    """Keys of a typed token with ``most`` errors; longest: the length of the longest word of the vocabulary."""
+    keys = set()
+    if len(token) >= 3 and len(bones := skeleton(token)) >= 2:
+        keys.add("s" + bones)
+    if len(token) > longest + ERRORS:
+        return keys
+    if len(token) <= SHORT + ERRORS:
+        keys |= {"d" + x for x in deletions(token, min(most, allowed(len(token) + 1)))}
+    for n in range(max(SHORT + 1, len(token) - ERRORS), min(longest, len(token) + ERRORS) + 1):
+        cuts = _cuts(n)
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            keys |= {f"p{k} {token[a + m : b + m]}" for m in range(-min(ERRORS, a), ERRORS + 1)}
+    return keys
+
+
+def _cuts(length: int) -> list[int]:
+    return [length * k // PIECES for k in range(PIECES + 1)]
+
+
+def similarity(token: str, word: str) -> float:
+    """How well a typed token stands for a word of the vocabulary; 0 if it doesn't."""
+    if token == word:
+        return 1.0
+    found = 0.0
+    most = allowed(min(len(word), len(token) + 1))
+    if most and (d := distance(token, word, most)) <= most:
+        found = 1 - TYPO_COST * d * (1 if len(word) > 5 else 1.5)
+    if len(token) >= 3 and len(bones := skeleton(token)) >= 2 and bones == skeleton(word) and _shortened(token, word):
+        found = max(found, 0.85)
+    return found
+
+
 class Vocabulary:
-    """The tokens of a reference; finds those that a typed token may stand for."""
+    """The tokens of a reference in memory; finds those that a typed token may stand for. For small lists and tests."""
 
     def __init__(self, words: set[str]):
-        self.words = words
-        self.deleted: dict[str, list[str]] = {}
-        self.skeletons: dict[str, list[str]] = {}
-        for w in sorted(words):
-            for d in deletions(w, min(2, allowed(len(w)))):
-                self.deleted.setdefault(d, []).append(w)
-            self.skeletons.setdefault(skeleton(w), []).append(w)
-        self.by_length: dict[int, list[str]] = {}
+        self.words, self.longest = words, max(map(len, words), default=0)
+        self.by_key: dict[str, list[str]] = {}
         for w in sorted(words):
-            self.by_length.setdefault(len(w), []).append(w)
+            for key in word_keys(w):
+                self.by_key.setdefault(key, []).append(w)
 
     def repairs(self, token: str) -> dict[str, float]:
         """Vocabulary tokens with their similarity to a typed token."""
         if token in self.words:
             return {token: 1.0}
-        found: dict[str, float] = {}
-        near = {w for d in deletions(token, 2 if len(token) < 24 else 1) for w in self.deleted.get(d, ())}
-        if len(token) >= 8:  # a third error may lie between deletions of two
-            near |= {w for n in range(len(token) - 3, len(token) + 4) for w in self.by_length.get(n, ())}
-        for w in near:
-            most = allowed(min(len(w), len(token) + 1))
-            if most and (d := distance(token, w, most)) <= most:
-                found[w] = 1 - TYPO_COST * d * (1 if len(w) > 5 else 1.5)
-        if len(token) >= 3:
-            bones = skeleton(token)
-            if len(bones) >= 2:
-                for w in self.skeletons.get(bones, ()):
-                    if _shortened(token, w):
-                        found[w] = max(found.get(w, 0), 0.85)
-        return found
+        near = {w for key in token_keys(token, self.longest) for w in self.by_key.get(key, ())}
+        return {w: s for w in near if (s := similarity(token, w))}
 
 
 def _shortened(token: str, word: str) -> bool:
@@ -135,199 +180,318 @@ def _shortened(token: str, word: str) -> bool:
     return len(token) < len(word) and all(c in it for c in token)
 
 
-class Matcher:
-    """Ranks the entries of a block of the reference.
+class Entry:
+    """An entry of the reference as the scoring reads it, packed in one text: it travels through joins as a column."""
 
-    entries: (id, name, whether no other entry has the same beginning); n and df:
-    number of entries and of those that hold a token, over the whole reference.
-    """
+    __slots__ = ("head", "heavy", "id", "total", "unique", "weights")
 
-    def __init__(self, entries: list[tuple[int, str, bool]], n: int, df: dict[str, int]):
-        self.idf = {t: math.log(1 + n / c) for t, c in df.items()}
-        self.unknown = math.log(1 + n)
-        self.entries = []
-        self.by_token: dict[str, list[int]] = {}
-        for i, name, unique in entries:
-            all_tokens = tokens(name)
-            if not all_tokens:
-                continue
-            head = set(tokens(name.split(",")[0])) if "," in name else set(all_tokens)
-            self.entries.append((i, set(all_tokens), head, unique))
-            for t in set(all_tokens):
-                self.by_token.setdefault(t, []).append(len(self.entries) - 1)
-        self.vocabulary = Vocabulary(set(self.by_token))
-        self.repaired: dict[str, dict[str, float]] = {}
-        self.memo: dict[str, tuple[int, float]] = {}
+    def __init__(self, packed: str):
+        i, unique, unknown, *words = packed.split(" ")
+        self.id, self.unique = int(i), unique == "1"
+        self.weights: dict[str, float] = {}
+        self.head: set[str] = set()
+        for w in words:
+            mark, word, weight = w[0], *w[1:].split("=")
+            self.weights[word] = float(weight)
+            if mark == "h":
+                self.head.add(word)
+        self.total = sum(self.weights.values())
+        self.heavy = [w for w, x in self.weights.items() if x >= 0.5 * float(unknown)]
 
-    def weight(self, token: str) -> float:
-        return self.idf.get(token, self.unknown)
+    @staticmethod
+    def pack(i: int, unique: bool, unknown: float, weights: dict[str, float], head: set[str]) -> str:
+        return " ".join([str(i), str(int(unique)), repr(unknown), *(f"{'h' if w in head else 't'}{w}={x!r}" for w, x in sorted(weights.items()))])
 
-    def repairs(self, token: str) -> dict[str, float]:
-        if token in _WRAPPING and token not in self.vocabulary.words:
-            return {}
-        if token not in self.repaired:
-            if len(self.repaired) >= MEMO:
-                self.repaired.clear()
-            self.repaired[token] = self.vocabulary.repairs(token)
-        return self.repaired[token]
-
-    def match(self, name: str) -> tuple[int, float]:
-        """The entry that a name means and its score, or (0, 0.0)."""
-        key = " ".join(tokens(name))
-        if key not in self.memo:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[key] = self._match(key.split())
-        return self.memo[key]
-
-    def _match(self, typed: list[str]) -> tuple[int, float]:
-        typed = self._compounds(typed)
-        found: list[dict[str, float]] = [self.repairs(t) for t in typed]
-        seen: Counter = Counter()
-        for r in found:
-            for t in r:
-                seen.update(self.by_token[t])
-        ranked = sorted((self._score(self.entries[k], typed, found) for k in seen), reverse=True)
-        if not ranked or ranked[0][0] <= 0:
-            return 0, 0.0
-        score, entry = ranked[0]
-        if len(ranked) > 1 and ranked[1][0] == score:  # as near to two entries
-            return 0, 0.0
-        return -entry, score
-
-    def _compounds(self, typed: list[str]) -> list[str]:
-        """Joins neighbours that together stand for a token of the reference for which neither stands alone."""
-        joined, k = [], 0
-        while k < len(typed):
-            if k + 1 < len(typed) and self._compound(typed[k], typed[k + 1]):
-                joined.append(typed[k] + typed[k + 1])
+
+class Name:
+    """A typed name with the repairs of its tokens, packed likewise.
+
+    packed: the weight of an unknown token, and for each item its place, whether it is
+    a pair of neighbours, the token, and its repairs word=similarity=weight.
+    """
+
+    __slots__ = ("found", "left", "typed")
+
+    def __init__(self, packed: str):
+        unknown, *items = packed.split(" ")
+        unknown = float(unknown)
+        single: dict[int, tuple[str, dict[str, float]]] = {}
+        pairs: dict[int, tuple[str, dict[str, float]]] = {}
+        weights: dict[str, float] = {}
+        for item in items:
+            place, token, *words = item.split("|")
+            repairs = {}
+            for w in words:
+                word, like, weight = w.split("=")
+                repairs[word], weights[word] = float(like), float(weight)
+            if token in repairs:
+                repairs = {token: 1.0}
+            (pairs if place[0] == "p" else single)[int(place[1:])] = token, repairs
+        self.typed, self.found = _compounds(single, pairs)
+        self.left = [
+            0.0 if t in _WRAPPING or t.isdigit() or len(t) == 1 else max((weights[w] for w in r), default=unknown) for t, r in zip(self.typed, self.found, strict=True)
+        ]
+
+
+def _compounds(single: dict, pairs: dict) -> tuple[list[str], list[dict[str, float]]]:
+    """Joins neighbours that together stand for a token of the reference, with two errors at most, for which neither stands alone."""
+    typed, found, k = [], [], 0
+    while k < len(single):
+        token, repairs = single[k]
+        if k in pairs and k + 1 in single:
+            joined, together = pairs[k][0], {w: s for w, s in pairs[k][1].items() if s >= TOGETHER}
+            if any(w not in repairs and w not in single[k + 1][1] for w in together):
+                typed.append(joined)
+                found.append(together)
                 k += 2
-            else:
-                joined.append(typed[k])
-                k += 1
-        return joined
-
-    def _compound(self, a: str, b: str) -> bool:
-        if any(t in _WRAPPING or len(t) < 2 or t.isdigit() for t in (a, b)):
-            return False
-        if a + b not in self.vocabulary.words and (a in self.vocabulary.words or b in self.vocabulary.words):
-            return False
-        alone = {**self.repairs(a), **self.repairs(b)}
-        return any(s >= 0.75 and w not in alone for w, s in self.repairs(a + b).items())
-
-    def _score(self, entry: tuple, typed: list[str], found: list[dict[str, float]]) -> tuple[float, int]:
-        i, all_tokens, head, unique = entry
-        best: dict[str, float] = {}
-        taken = [False] * len(typed)
-        pairs = sorted(((s, t, k) for k, r in enumerate(found) for t, s in r.items() if t in all_tokens), key=lambda p: (-p[0], p[2], p[1]))
-        for s, t, k in pairs:
+                continue
+        typed.append(token)
+        found.append(repairs)
+        k += 1
+    return typed, found
+
+
+def score(name: Name, entry: Entry) -> float:
+    """How well a name means an entry; 0 if it doesn't."""
+    typed, found, weights, head = name.typed, name.found, entry.weights, entry.head
+    best: dict[str, float] = {}
+    taken = [False] * len(typed)
+    pairs = [(-s, k, t) for k, r in enumerate(found) for t, s in r.items() if t in weights]
+    pairs.sort()
+    for s, k, t in pairs:
+        if t not in best and not taken[k]:
+            best[t], taken[k] = -s, True
+    # Where the beginning is found, the rest may be a worse misspelling or shortening.
+    if len(head) < len(weights) and len(best) < len(weights) and all(t in best for t in head):
+        rest = sorted((-s, k, t) for k in range(len(typed)) if not taken[k] for t in weights if t not in best if (s := _rough(typed[k], t)))
+        for s, k, t in rest:
             if t not in best and not taken[k]:
-                best[t], taken[k] = s, True
-        # Where the beginning is found, the rest may be a worse misspelling or shortening.
-        if head != all_tokens and all(t in best for t in head):
-            rest = sorted(((s, t, k) for k in range(len(typed)) if not taken[k] for t in all_tokens if t not in best if (s := self._rough(typed[k], t))), key=lambda p: (-p[0], p[2], p[1]))
-            for s, t, k in rest:
-                if t not in best and not taken[k]:
-                    best[t], taken[k] = s, True
-            for k in range(len(typed) - 1):  # a shortened token may be in two pieces
-                if not taken[k] and not taken[k + 1]:
-                    for t in all_tokens - best.keys():
-                        if s := self._rough(typed[k] + typed[k + 1], t):
-                            best[t], taken[k], taken[k + 1] = s, True, True
-                            break
-        # A token may be typed twice.
-        left = sum(self._left(typed[k], found[k]) for k in range(len(typed)) if not taken[k] and not any(t in best for t in found[k]))
-        total = sum(self.weight(t) for t in all_tokens)
-        got = sum(self.weight(t) * s for t, s in best.items())
-        whole = sum(self.weight(t) for t in best)
-        if whole >= COVERED * total and all(t in best for t in all_tokens if self.weight(t) >= 0.5 * self.unknown) and got >= 0.6 * whole and whole >= USED * (whole + left):
-            return got / math.sqrt(total * (whole + left)) * (0.5 + 0.5 * got / whole), -i
-        if unique and head and head == set(best) and left == 0 and got >= 0.7 * whole:
-            return 0.9 * got / whole * whole / math.sqrt(total * whole), -i
-        return 0.0, -i
+                best[t], taken[k] = -s, True
+        for k in range(len(typed) - 1):  # a shortened token may be in two pieces
+            if not taken[k] and not taken[k + 1]:
+                for t in sorted(weights.keys() - best.keys()):
+                    if s := _rough(typed[k] + typed[k + 1], t):
+                        best[t], taken[k], taken[k + 1] = s, True, True
+                        break
+    whole = sum(weights[t] for t in best)
+    if not whole:
+        return 0.0
+    # A token may be typed twice.
+    left = sum(name.left[k] for k in range(len(typed)) if not taken[k] and not any(t in best for t in found[k]))
+    got = sum(weights[t] * s for t, s in best.items())
+    if whole >= COVERED * entry.total and all(t in best for t in entry.heavy) and got >= 0.6 * whole and whole >= USED * (whole + left):
+        return got / math.sqrt(entry.total * (whole + left)) * (0.5 + 0.5 * got / whole)
+    if entry.unique and head and head == best.keys() and left == 0 and got >= 0.7 * whole:
+        return 0.9 * got / math.sqrt(entry.total * whole)
+    return 0.0
+
+
+def _rough(token: str, word: str) -> float:
+    """0.6 downwards for a token that begins like a word and has nearly its consonants, or half of its letters wrong at most."""
+    if token[0] != word[0] or token in _WRAPPING or len(token) < 2 or len(token) > len(word) + 2:
+        return 0.0
+    bones, wanted = skeleton(token), skeleton(word)
+    if _shortened(token, word) and bones == wanted:
+        return 0.6
+    d = distance(bones, wanted, 2)
+    if d <= (1 if len(wanted) < 6 else 2) and len(bones) >= 2:
+        return 0.58 - 0.04 * d
+    most = len(word) // 3 + 1
+    d = distance(token, word, most)
+    return 0.5 - 0.04 * d if d <= most and len(token) >= 4 else 0.0
 
-    @staticmethod
-    def _rough(token: str, word: str) -> float:
-        """0.6 downwards for a token that begins like a word and has nearly its consonants, or half of its letters wrong at most."""
-        if token[0] != word[0] or token in _WRAPPING or len(token) < 2 or len(token) > len(word) + 2:
-            return 0.0
-        bones, wanted = skeleton(token), skeleton(word)
-        if _shortened(token, word) and bones == wanted:
-            return 0.6
-        d = distance(bones, wanted, 2)
-        if d <= (1 if len(wanted) < 6 else 2) and len(bones) >= 2:
-            return 0.58 - 0.04 * d
-        most = len(word) // 3 + 1
-        d = distance(token, word, most)
-        return 0.5 - 0.04 * d if d <= most and len(token) >= 4 else 0.0
 
-    def _left(self, token: str, found: dict[str, float]) -> float:
-        if token in _WRAPPING or token.isdigit() or len(token) == 1:
-            return 0.0
-        return max((self.weight(t) for t in found), default=self.unknown)
+# ---- The joins ----------------------------------------------------------------------------------
 
 
-def _head(name: str) -> str:
-    return " ".join(tokens(name.split(",")[0]))
+def _map(df: DataFrame, schema: str, out: pa.Schema, each: Callable[[pa.RecordBatch], Iterable[list]]) -> DataFrame:
+    """A map of Arrow batches to the columns that ``each`` gives for a batch."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(each(b), out.types, strict=True)], schema=out)
 
-def _reference(ref: DataFrame, ref_id: str, ref_name: str) -> tuple[DataFrame, int]:
-    rows = ref.filter(F.col(ref_id).isNotNull() & F.col(ref_name).isNotNull()).select(F.col(ref_id).cast("bigint").alias("id"), F.col(ref_name).alias("name"))
-    return rows, rows.count()
+    return df.mapInArrow(run, schema)
+
+
+def _keyed(names: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """synonym_id and key (the tokens of the name) of every row."""
+
+    def each(b: pa.RecordBatch) -> list:
+        return [b.column(0).cast(pa.int64()), [" ".join(tokens(x)) if x else "" for x in b.column(1).to_pylist()]]
+
+    return _map(spread(names.select(id_col, name_col)), "synonym_id bigint, key string", pa.schema([("synonym_id", pa.int64()), ("key", pa.string())]), each)
+
+
+def _entries(ref: DataFrame, ref_id: str, ref_name: str) -> DataFrame:
+    """entry, key and head of each distinct entry that has a token."""
+
+    def each(b: pa.RecordBatch) -> list:
+        texts = b.column(1).to_pylist()
+        return [b.column(0).cast(pa.int64()), [" ".join(tokens(x)) for x in texts], [" ".join(tokens(x.split(",")[0])) for x in texts]]
+
+    rows = ref.filter(F.col(ref_id).isNotNull() & F.col(ref_name).isNotNull()).select(ref_id, ref_name)
+    out = pa.schema([("entry", pa.int64()), ("key", pa.string()), ("head", pa.string())])
+    return _map(rows, "entry bigint, key string, head string", out, each).filter("key <> ''").distinct()
+
+
+def _near(searched: DataFrame, vocabulary: DataFrame, longest: int, limit: int) -> DataFrame:
+    """token and its repairs (word=similarity=weight, packed) of searched tokens (token, most) that may stand for words of the vocabulary."""
+    out = pa.schema([("token", pa.string()), ("hit", pa.string())])
+
+    def of_words(b: pa.RecordBatch) -> list:
+        rows = [(w, x, key) for w, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for key in word_keys(w)]
+        return list(zip(*rows, strict=True)) if rows else [[], [], []]
+
+    def of_tokens(b: pa.RecordBatch) -> list:
+        texts = b.column(0).to_pylist()
+        keys = [token_keys(t, longest, m) for t, m in zip(texts, b.column(1).to_pylist(), strict=True)]
+        return [[t for t, ks in zip(texts, keys, strict=True) for _ in ks], [k for ks in keys for k in ks]]
+
+    def of_pairs(b: pa.RecordBatch) -> list:
+        rows = [(t, f"{w}={s!r}={x!r}") for t, w, x in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True) if (s := similarity(t, w))]
+        return [[r[0] for r in rows], [r[1] for r in rows]]
+
+    words = _map(vocabulary, "word string, weight double, hit string", pa.schema([("word", pa.string()), ("weight", pa.float64()), ("hit", pa.string())]), of_words)
+    met = _map(dealt(searched, "token"), "token string, hit string", out, of_tokens).join(broadcast_if_small(words, limit), "hit").select("token", "word", "weight").distinct()
+    near = _map(met, "token string, hit string", out, of_pairs)
+    return near.groupBy("token").agg(F.array_join(F.sort_array(F.collect_list("hit")), "|").alias("repairs"))
+
+
+def _postings(entries: DataFrame, vocabulary: DataFrame, unknown: float) -> DataFrame:
+    """opener and the packed entry, for each opener of each entry.
+
+    An entry can win only if one of its rarest tokens is found, so many of them
+    that the others together don't reach the part that must be covered; or by its
+    beginning alone. Such a token is found by repair (opener w + token), or only
+    roughly, which takes a found beginning (opener h + the rarest token of the
+    beginning + the first letter of the token).
+    """
+    spread_ = entries.select("entry", "key", "head", F.explode(F.array_distinct(F.split("key", " "))).alias("word"))
+    weighed = spread_.join(vocabulary, "word")
+    rows = weighed.groupBy("entry", "key", "head").agg(F.collect_list(F.struct("word", "weight")).alias("ws"))
+    unique = entries.groupBy("head").agg((F.min("entry") == F.max("entry")).alias("is_unique"))
+    rows = rows.join(unique, "head")
+    out = pa.schema([("opener", pa.string()), ("packed", pa.string())])
+
+    def each(b: pa.RecordBatch) -> list:
+        openers, packed = [], []
+        for i, key, first, ws, alone in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
+            weights = {w["word"]: w["weight"] for w in ws}
+            head = set(first.split()) if first else set()
+            order = sorted(weights, key=lambda w: (-weights[w], w))
+            rest, keys = sum(weights.values()), set()
+            least = COVERED * rest * (1 - 1e-9)
+            start = min(head, key=lambda w: (-weights[w], w), default=None)
+            for w in order:
+                keys.add("w" + w)
+                if start is not None and w not in head:
+                    keys.add(f"h{start} {w[0]}")
+                rest -= weights[w]
+                if rest < least:
+                    break
+            if start is not None:
+                keys.add("w" + start) if alone else None
+            text = Entry.pack(i, alone, unknown, weights, head)
+            openers += keys
+            packed += [text] * len(keys)
+        return [openers, packed]
+
+    return _map(rows.select("entry", "key", "head", "ws", "is_unique"), "opener string, packed string", out, each)
+
+
+def _memo(make: Callable[[str], object]) -> Callable[[str], object]:
+    kept: dict[str, object] = {}
+
+    def get(packed: str) -> object:
+        if packed not in kept:
+            if len(kept) >= MEMO // 10:
+                kept.clear()
+            kept[packed] = make(packed)
+        return kept[packed]
+
+    return get
 
 
 def match(names: DataFrame, id_col: str, name_col: str, ref: DataFrame, ref_id: str, ref_name: str, limit: int = SMALL_ROWS) -> DataFrame:
     """synonym_id and food_id of every row: the entry its name means, or 0.
 
     0 for null and blank names, for names that mean no entry and for those that
-    are as near to two. Repeated rows give repeated results. Entries of equal
-    names can't be told apart, so such a name gives 0 unless its ids are equal.
+    are as near to two. Repeated rows, and rows of equal or null ids, give a
+    result each. Entries of equal names can't be told apart, so such a name gives
+    0 unless their ids are equal. Null ids and names of the reference are no
+    entries. limit: rows up to which a side of a join is broadcast.
     """
-    rows, n = _reference(ref, ref_id, ref_name)
-    parts = max(1, -(-n // max(1, limit // 2)))
-    everything = rows.collect() if parts == 1 else None
-    schema, out = "synonym_id bigint, food_id bigint, score double", pa.schema([("synonym_id", pa.int64()), ("food_id", pa.int64()), ("score", pa.float64())])
-    result = None
-    for k in range(parts):
-        if everything is not None:
-            entries = sorted({(r["id"], r["name"]) for r in everything})
-            heads = Counter(_head(x) for _, x in entries)
-            block = [(i, x, heads[_head(x)] == 1) for i, x in entries]
-            df = dict(Counter(t for _, x in entries for t in set(tokens(x))))
-        else:
-            block, df = _large_block(rows, parts, k)
-        shared, token = names.sparkSession.sparkContext.broadcast((block, max(n, 1), df)), uuid.uuid4().hex
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, token=token) -> Iterator[pa.RecordBatch]:
-            m = _matcher(token, shared.value)
-            for b in batches:
-                got = [m.match(x) if x else (0, 0.0) for x in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.float64())], schema=out)
-
-        part = spread(names.select(id_col, name_col)).mapInArrow(run, schema)
-        result = part if result is None else result.unionByName(part)
-    if parts > 1:
-        result = result.groupBy("synonym_id").agg(F.max_by("food_id", "score").alias("food_id"))
-    return result.select("synonym_id", "food_id")
-
-
-def _large_block(rows: DataFrame, parts: int, k: int) -> tuple[list, dict[str, int]]:
-    """A block of a reference that is too large for one, with the counts that concern it."""
-    head = F.udf(_head, "string")
-    split = F.udf(lambda x: sorted(set(tokens(x))), "array<string>")
-    keyed = rows.withColumn("head", head("name")).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(parts)))
-    unique = keyed.groupBy("head").agg((F.countDistinct("id") == 1).alias("is_unique"))
-    block = keyed.filter(F.col("block") == k)
-    words = block.select(F.explode(split("name")).alias("t")).distinct()
-    df = rows.select(F.explode(split("name")).alias("t")).join(words, "t").groupBy("t").count()
-    return [(r["id"], r["name"], r["is_unique"]) for r in block.join(unique, "head").collect()], {r["t"]: r["count"] for r in df.collect()}
-
-
-_kept: dict[str, Matcher] = {}
-
-
-def _matcher(key: str, value: tuple) -> Matcher:
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = Matcher(*value)
-    return _kept[key]
+    entries = _entries(ref, ref_id, ref_name)
+    ts = F.split("key", " ")
+    facts = entries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(ts)).alias("tokens"), F.sum(F.length("key")).alias("letters"), F.max(F.array_max(F.transform(ts, F.length))).alias("longest")).first()
+    n, longest = max(facts["n"], 1), facts["longest"] or 0
+    # No side made of the reference has more rows than it has tokens, nor a row longer than an entry, packed.
+    few = (facts["tokens"] or 0) <= limit and (facts["letters"] or 0) <= limit * 100
+    small = F.broadcast if few else (lambda side: side)
+    unknown = math.log(1 + n)
+    vocabulary = entries.select(F.explode(F.array_distinct(F.split("key", " "))).alias("word")).groupBy("word").agg(F.log(1 + F.lit(float(n)) / F.count(F.lit(1))).alias("weight"))
+    rows = _keyed(names, id_col, name_col)
+
+    # Items of distinct names: single tokens with their weight where the reference has them, and neighbours that may be one token in two pieces.
+    distinct = rows.filter("key <> ''").select("key").distinct()
+    wrapping = sorted(_WRAPPING)
+    known = small(vocabulary.select(F.col("word").alias("token"), "weight"))
+    neighbours = distinct.select("key", F.posexplode(F.arrays_zip(ts.alias("token"), F.slice(ts, F.lit(2), F.size(ts)).alias("next"))).alias("place", "p")).select("key", "place", "p.token", "p.next")
+    single = neighbours.join(known, "token", "left")
+    single = single.select("key", F.concat(F.lit("s"), "place").alias("place"), "token", "weight", F.lit(ERRORS).alias("most"))
+    pairs = neighbours.filter("next IS NOT NULL").select("key", "place", F.col("token").alias("a"), F.col("next").alias("b"))
+    for side in ("a", "b"):
+        t = F.col(side)
+        pairs = pairs.filter((F.length(t) >= 2) & ~t.isin(wrapping) & ~t.rlike(r"^\p{N}+$"))
+        pairs = pairs.join(known.select(F.col("token").alias(side), F.lit(True).alias(f"known_{side}")), side, "left")
+    pairs = pairs.select("key", F.concat(F.lit("p"), "place").alias("place"), F.concat("a", "b").alias("token"), F.coalesce("known_a", "known_b", F.lit(False)).alias("known"))
+
+    # Repairs: of tokens that the reference lacks; neighbours of which one is a word of its own are joined only if they are a word exactly.
+    open_pairs = pairs.filter("NOT known").drop("known").withColumn("most", F.lit(2))
+    open_items = single.filter("weight IS NULL").drop("weight").unionByName(open_pairs)
+    searched = open_items.filter(~F.col("token").isin(wrapping)).groupBy("token").agg(F.max("most").alias("most"))
+    looked = open_items.drop("most").join(_near(searched, vocabulary, longest, limit), "token", "left")
+    itself = F.concat("token", F.lit("=1.0="), F.col("weight").cast("string")).alias("repairs")
+    sure = single.filter("weight IS NOT NULL").select("token", "key", "place", itself)
+    exact = pairs.filter("known").drop("known").join(known, "token").select("token", "key", "place", itself)
+    cells = sure.unionByName(looked).unionByName(exact)
+    packed = cells.groupBy("key").agg(F.concat(F.lit(f"{unknown!r} "), F.array_join(F.collect_list(F.concat_ws("|", "place", "token", "repairs")), " ")).alias("name"))
+
+    def openers(b: pa.RecordBatch) -> list:
+        out: list[list] = [[], [], []]
+        for key, name in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            words = {w.split("=", 1)[0] for item in name.split(" ")[1:] for w in item.split("|")[2:]}
+            letters = {t[0] for t in key.split(" ")}
+            found = [f"w{w}" for w in words] + [f"h{w} {x}" for w in words for x in letters]
+            out[0] += [key] * len(found)
+            out[1] += [name] * len(found)
+            out[2] += found
+        return out
+
+    three = pa.schema([("key", pa.string()), ("name", pa.string()), ("opener", pa.string())])
+    opened = _map(dealt(packed, "key"), "key string, name string, opener string", three, openers)
+    opened = opened.join(small(_postings(entries, vocabulary, unknown)), "opener").select("key", "name", "packed")
+
+    parse_name, parse_entry = _memo(Name), _memo(Entry)
+
+    def each(b: pa.RecordBatch) -> list:
+        keep, ids, scores = [], [], []
+        seen: set[tuple[str, str]] = set()
+        for k, (name, entry) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
+            if (name, entry) in seen:  # met on several openers
+                continue
+            seen.add((name, entry))
+            e = parse_entry(entry)
+            if s := score(parse_name(name), e):
+                keep.append(k)
+                ids.append(e.id)
+                scores.append(s)
+        return [b.column(0).take(pa.array(keep, pa.int64())), ids, scores]
+
+    out = pa.schema([("key", pa.string()), ("entry", pa.int64()), ("score", pa.float64())])
+    scored = _map(opened, "key string, entry bigint, score double", out, each)
+    # As near to two: the smallest and the largest of the best entries differ.
+    best = scored.groupBy("key").agg(F.max(F.struct("score", "entry")).alias("most"), F.max(F.struct("score", (-F.col("entry")).alias("entry"))).alias("least"))
+    best = best.filter(F.col("most.entry") == -F.col("least.entry")).select("key", F.col("most.entry").alias("food_id"))
+    return rows.join(best, "key", "left").select("synonym_id", F.coalesce("food_id", F.lit(0)).cast("bigint").alias("food_id"))

@@ -78,3 +78,74 @@ def test_accuracy_on_settled_rows(spark, data):
     want = {r["id"]: r["food_id"] for r in syn.collect()}
     got = {r["synonym_id"]: r["food_id"] for r in C.match(syn, "id", "name", spark.read.parquet(f"{data}/food.parquet"), "id", "name").collect()}
     assert sum(got[i] == f for i, f in want.items()) >= 0.98 * len(want)
+
+
+def near_pairs(r, words, n):
+    """Words with one to three typing errors."""
+    out = []
+    for _ in range(n):
+        t = list(r.choice(words))
+        for _ in range(r.randrange(1, 4)):
+            k, what = r.randrange(len(t)), r.randrange(4)
+            if what == 0:
+                t[k] = r.choice("abcdeimnrst")
+            elif what == 1:
+                t.insert(k, r.choice("abcdeimnrst"))
+            elif what == 2 and len(t) > 2:
+                del t[k]
+            elif k + 1 < len(t):
+                t[k], t[k + 1] = t[k + 1], t[k]
+        out.append("".join(t))
+    return out
+
+
+def test_keys_miss_no_near_word():
+    """Tokens and words of 1 to 60 letters, on both sides of the change from deletions to pieces."""
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdeimnrst") for _ in range(r.randrange(1, 61))) for _ in range(120)] + ["".join(r.choice("ab") for _ in range(r.randrange(18, 26))) for _ in range(60)]
+    v = C.Vocabulary(set(words))
+    for t in near_pairs(r, words, 400):
+        near = {w for w in v.words if slow_distance(t, w) <= C.allowed(min(len(w), len(t) + 1))}
+        assert t in v.words or near <= set(v.repairs(t)), t
+
+
+def test_one_answer_for_all_sizes(spark):
+    """Repeated ids, null ids, equal names and ties: the limit of broadcasts decides nothing but the join."""
+    r = random.Random(8)
+    heads, tails = ["almond spread", "tapioca flour", "rum", "potato starch", "rye"], ["salted", "malted dark", "stone-milled", "spiced", "crunchy", ""]
+    foods = [(r.randrange(1, 30), ", ".join(x for x in (r.choice(heads), r.choice(tails)) if x)) for _ in range(40)] + [(1, "Rum, spiced"), (2, "rum,  Spiced"), (None, "x"), (3, None)]
+    names = [x for i, x in foods if x] + near_pairs(r, [x for i, x in foods if x], 60) + [None, "", " ", "rum", "spiced rum eko"]
+    rows = [(r.choice([None, 1, 1, k]), n) for k, n in enumerate(names)] + [(None, "Rum, spiced"), (1, "Rum, spiced")]
+    df, ref = spark.createDataFrame(rows, "id bigint, name string"), spark.createDataFrame(foods, "id bigint, name string")
+    got = [sorted(map(tuple, C.match(df, "id", "name", ref, "id", "name", limit).collect()), key=str) for limit in (2, 4, 50_000)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == len(rows)
+    assert sum(f != 0 for _, f in got[0]) > 10
+
+
+def test_names_against_all_entries(spark):
+    """The openers lose nothing: the same as scoring each name against each entry."""
+    r = random.Random(9)
+    foods = [(k, n) for k, (n, _) in enumerate({f"{a}, {b}": 0 for a in ("almond spread", "oat spread", "rye flour", "wild rice") for b in ("salted crunchy", "smooth dark", "stone-milled", "puffed")}.items(), 1)]
+    names = near_pairs(r, [n.replace(",", "") for _, n in foods], 150) + ["almnd sprd crnchy salted", "rye flr stone milld", "oat", "wild", "puffd wild rice"]
+    df, ref = spark.createDataFrame(list(enumerate(names)), "id bigint, name string"), spark.createDataFrame(foods, "id bigint, name string")
+    got = dict(map(tuple, C.match(df, "id", "name", ref, "id", "name").collect()))
+    import math
+    from collections import Counter
+
+    split = {i: C.tokens(n) for i, n in foods}
+    df_ = Counter(t for ts in split.values() for t in set(ts))
+    weight = {t: math.log(1 + len(foods) / c) for t, c in df_.items()}
+    unknown = math.log(1 + len(foods))
+    heads = Counter(n.split(",")[0] for _, n in foods)
+    entries = [C.Entry(C.Entry.pack(i, heads[n.split(",")[0]] == 1, unknown, {t: weight[t] for t in split[i]}, set(C.tokens(n.split(",")[0])))) for i, n in foods]
+    v = C.Vocabulary(set(weight))
+    for k, name in enumerate(names):
+        ts, items = C.tokens(name), []
+        for place, t in enumerate(ts):
+            items.append((f"s{place}", t))
+            if place + 1 < len(ts) and all(len(x) >= 2 and x not in C._WRAPPING for x in ts[place : place + 2]) and (t + ts[place + 1] in v.words or not {t, ts[place + 1]} & v.words):
+                items.append((f"p{place}", t + ts[place + 1]))
+        packed = " ".join([repr(unknown)] + ["|".join([p, t] + [f"{w}={s!r}={weight[w]!r}" for w, s in ({} if t in C._WRAPPING else v.repairs(t)).items()]) for p, t in items])
+        ranked = sorted(((C.score(C.Name(packed), e), e.id) for e in entries), reverse=True)
+        want = ranked[0][1] if ranked[0][0] > 0 and ranked[0][0] != ranked[1][0] else 0
+        assert got[k] == want, name
