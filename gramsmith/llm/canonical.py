@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramsmith.session import SMALL_ROWS, broadcast_if_small, dealt, spread
+from gramsmith.session import SMALL_ROWS, broadcast_if_small, dealt, spread, written
 
 MEMO = 200_000
 #: Parts of an entry's weight that must be found, and of a name's weight that must be used.
@@ -210,7 +210,7 @@ class Name:
     a pair of neighbours, the token, and its repairs word=similarity=weight.
     """
 
-    __slots__ = ("found", "left", "typed")
+    __slots__ = ("found", "left", "typed", "words")
 
     def __init__(self, packed: str):
         unknown, *items = packed.split(" ")
@@ -228,6 +228,7 @@ class Name:
                 repairs = {token: 1.0}
             (pairs if place[0] == "p" else single)[int(place[1:])] = token, repairs
         self.typed, self.found = _compounds(single, pairs)
+        self.words = set().union(*self.found)
         self.left = [
             0.0 if t in _WRAPPING or t.isdigit() or len(t) == 1 else max((weights[w] for w in r), default=unknown) for t, r in zip(self.typed, self.found, strict=True)
         ]
@@ -254,6 +255,9 @@ def _compounds(single: dict, pairs: dict) -> tuple[list[str], list[dict[str, flo
 def score(name: Name, entry: Entry) -> float:
     """How well a name means an entry; 0 if it doesn't."""
     typed, found, weights, head = name.typed, name.found, entry.weights, entry.head
+    # Without the whole beginning neither it alone nor a rough match can count, so the repairs must cover enough.
+    if not head <= name.words and sum([x for w, x in weights.items() if w in name.words]) < COVERED * entry.total * (1 - 1e-9):
+        return 0.0
     best: dict[str, float] = {}
     taken = [False] * len(typed)
     pairs = [(-s, k, t) for k, r in enumerate(found) for t, s in r.items() if t in weights]
@@ -422,7 +426,7 @@ def match(names: DataFrame, id_col: str, name_col: str, ref: DataFrame, ref_id:
     0 unless their ids are equal. Null ids and names of the reference are no
     entries. limit: rows up to which a side of a join is broadcast.
     """
-    entries = _entries(ref, ref_id, ref_name)
+    entries = written(_entries(ref, ref_id, ref_name))
     ts = F.split("key", " ")
     facts = entries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(ts)).alias("tokens"), F.sum(F.length("key")).alias("letters"), F.max(F.array_max(F.transform(ts, F.length))).alias("longest")).first()
     n, longest = max(facts["n"], 1), facts["longest"] or 0
@@ -430,7 +434,7 @@ def match(names: DataFrame, id_col: str, name_col: str, ref: DataFrame, ref_id:
     few = (facts["tokens"] or 0) <= limit and (facts["letters"] or 0) <= limit * 100
     small = F.broadcast if few else (lambda side: side)
     unknown = math.log(1 + n)
-    vocabulary = entries.select(F.explode(F.array_distinct(F.split("key", " "))).alias("word")).groupBy("word").agg(F.log(1 + F.lit(float(n)) / F.count(F.lit(1))).alias("weight"))
+    vocabulary = written(entries.select(F.explode(F.array_distinct(F.split("key", " "))).alias("word")).groupBy("word").agg(F.log(1 + F.lit(float(n)) / F.count(F.lit(1))).alias("weight")))
     rows = _keyed(names, id_col, name_col)
 
     # Items of distinct names: single tokens with their weight where the reference has them, and neighbours that may be one token in two pieces.
