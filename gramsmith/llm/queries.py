@@ -12,6 +12,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return survivors.survivors(table(spark, d, "density"), table(spark, d, "food"), table(spark, d, "density_source"))
 
 
+def p1_consensus(spark: SparkSession, d: str) -> DataFrame:
+    """The same groups by the counted vote."""
+    return survivors.consensus_survivors(table(spark, d, "density"), table(spark, d, "food"), table(spark, d, "density_source"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return canonical.match(table(spark, d, "synonym").filter("food_id IS NULL"), "id", "name", table(spark, d, "food"), "id", "name")
 
@@ -33,7 +38,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.residue(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_templates": p7_templates, "p8_found": p8_found}
+QUERIES = {"p1_found": p1_found, "p1_consensus": p1_consensus, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_templates": p7_templates, "p8_found": p8_found}
 
 ORACLES = {
     "p1_found": r"""
