@@ -23,6 +23,7 @@ split depends on its own rows only, not on partitions or other groups.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import operator
@@ -44,8 +45,9 @@ Weight = float | tuple[int, ...]
 Profile = list[dict[str | None, Weight]]
 
 
-def tokens(value: str) -> list[str]:
-    return _TOKEN.findall(value.casefold())
+@functools.lru_cache(100_000)
+def tokens(value: str) -> tuple[str, ...]:
+    return tuple(_TOKEN.findall(value.casefold()))
 
 
 @dataclass(frozen=True)
@@ -70,12 +72,19 @@ def _align(a: Profile, b: Profile) -> list[tuple[int | None, int | None]]:
     shares = [_shares(c) for c in a], [_shares(c) for c in b]
     best = [[-0.5 * (i + j) for j in range(m + 1)] if i == 0 else [-0.5 * i] + [0.0] * m for i in range(n + 1)]
     move = [["word"] * (m + 1)] + [["column"] + [""] * m for _ in range(n)]
-    for i in range(1, n + 1):
-        for j in range(1, m + 1):
-            left, right = shares[0][i - 1], shares[1][j - 1]
-            same = sum(min(s, right[t]) for t, s in left.items() if t in right and t is not GAP)
-            options = ((best[i - 1][j - 1] + (same or -0.4), "both"), (best[i - 1][j] - 0.5, "column"), (best[i][j - 1] - 0.5, "word"))
-            best[i][j], move[i][j] = max(options, key=lambda o: o[0])
+    for i, left in enumerate(shares[0], 1):
+        above, row, moves = best[i - 1], best[i], move[i]
+        for j, right in enumerate(shares[1], 1):
+            same = 0.0
+            for t, s in right.items():
+                if t in left and t is not GAP:
+                    same += min(s, left[t])
+            most, step = above[j - 1] + (same or -0.4), "both"
+            if above[j] - 0.5 > most:
+                most, step = above[j] - 0.5, "column"
+            if row[j - 1] - 0.5 > most:
+                most, step = row[j - 1] - 0.5, "word"
+            row[j], moves[j] = most, step
     path, i, j = [], n, m
     while i or j:
         step = move[i][j]
@@ -114,11 +123,11 @@ def profile(values: Sequence[str], weights: Sequence[Weight], vote: Vote = COUNT
     return columns, seen
 
 
-def winner(columns: Profile) -> list[str]:
-    return [t for t in (max(c, key=c.get) for c in columns) if t is not GAP]
+def winner(columns: Profile) -> tuple[str, ...]:
+    return tuple([t for c in columns if (t := next(iter(c)) if len(c) == 1 else max(c, key=c.get)) is not GAP])
 
 
-def _distance(a: list[str], b: list[str]) -> int:
+def _distance(a: tuple[str, ...], b: tuple[str, ...]) -> int:
     if a == b:
         return 0
     row = list(range(len(b) + 1))
@@ -135,6 +144,8 @@ def consensus(values: Sequence[str], weights: Sequence[Weight], vote: Vote = COU
         return 0
     order = sorted(range(len(values)), key=weights.__getitem__, reverse=True)
     won = winner(profile(values, weights, vote)[0])
+    if won == tokens(values[order[0]]):
+        return order[0]
     return min(order, key=lambda k: _distance(tokens(values[k]), won))
 
 
@@ -268,7 +279,7 @@ def _large_groups(rows: DataFrame, vote: Vote) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cols = [c.to_pylist() for c in b.columns]
-            far = [_distance(tokens(v), json.loads(w)) for v, w in zip(cols[2], cols[7], strict=True)]
+            far = [_distance(tokens(v), tuple(json.loads(w))) for v, w in zip(cols[2], cols[7], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([cols[0], cols[1], cols[2], cols[5], far, cols[3], cols[4], cols[6]], measured.types, strict=True)], schema=measured)
 
     joined = values.join(winners, ["group_key", "field"]).select("group_key", "field", "value", "rank.distrust", "rank.age", "rank.id", "votes", "won")
