@@ -3,30 +3,43 @@
 Texts are cut into segments (lines, and sentences within them). Segments that a
 grammar of residue accepts are trusted labels: unfilled placeholders, filler,
 announcements of missing text, printed unset values, error messages, demands for
-scripts. All distinct segments get a SimHash of their words; tables of its four
-16-bit parts find segments near a trusted one (all within 3 bits, by the
-pigeonhole principle, and many further ones). A prefix filter on five-word
-shingles finds all that are similar enough, whatever their SimHash. Both are
-confirmed by the Jaccard similarity of their shingles. What is confirmed joins the component of the label and is searched from in turn, until
-nothing joins: the labels so reach whole connected components, while components
-without a label are never built. A document that holds a labelled segment is
-residue.
+scripts. The labels are then propagated through connected components of all
+distinct segments, which are linked in two ways:
+
+* Near-duplicates. All distinct segments of five words or more get a SimHash of
+  their words. Tables of the ten pairs of its five parts find segments near a
+  labelled one: all within 3 bits, by the pigeonhole principle, with keys of 25
+  bits, so that a bucket holds few segments. A prefix filter on five-word
+  shingles finds all that are similar enough, whatever their SimHash. Both are
+  confirmed by the Hamming distance or the sizes, and by the Jaccard similarity of
+  the shingles.
+* Pages. An error page is a short text of several messages. A segment that stands
+  with labelled ones on at least MATES different pages of at most PAGE segments,
+  and on such pages in at least PURE of all different texts that have it, belongs
+  to their component. So a message in a wording that the grammar lacks is learned
+  from the company it keeps, and found where it stands alone.
+
+What is confirmed is searched from in turn, until nothing joins: the labels so
+reach whole connected components, while components without a label are never
+built. A document that holds a labelled segment is residue.
 
 A placeholder within prose labels its own segment only, as the prose around it
 is not residue and may stand elsewhere in earnest.
 
-Exact copies are one segment after a pre-aggregated grouping, so that copies
-cost nothing in the search, and pairs are only formed between a segment newly
-labelled and one without a label.
+Exact copies are one segment after a pre-aggregated grouping, and copies of a text
+are one text, so that copies cost nothing in the search, and pairs are only formed
+between a segment newly labelled and one without a label.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 import unicodedata
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -34,18 +47,22 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramsmith.session import broadcast_if_small, cut, spread, written
+from gramsmith.session import broadcast_if_small, cut, dealt, spread, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
 HAMMING = 12
-PARTS = 4  # tables of 16 bits each
+#: Parts of a SimHash (first bit and number of bits); a table holds two of them.
+PARTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Segments of a page at most, pages that tell a message at least, and their least share of the texts that have it.
+PAGE, MATES, PURE = 6, 3, 0.5
 NONE, WHOLE, WITHIN = 0, 1, 2
 
 _CUT = re.compile(r"[\r\n\v\f  \x85]+|(?<=[.!?])\s+")
 _WORD = re.compile(r"[^\W_]+")
 _MARKS, _INVISIBLE = regex.compile(r"[\p{M}\p{Cf}]+"), regex.compile(r"\p{Cf}+")
 _DIGITS = re.compile(r"\d+")
+_BETWEEN = re.compile(r"[^\w\n]+")
 
 # ---- Fixed values: the signs and words of residue ----------------------------------------------
 _NAME = r"[^\W\d_][\w.]*"
@@ -129,18 +146,17 @@ SCRIPTS = re.compile(
 )
 #: Every text that an alternative of the grammar accepts holds one of these in its flat form (a test proves it from the
 #: patterns), so a segment without any needs no further work. None has a blank, as tags and line ends may become blanks.
-TRIGGERS = tuple(
-    sorted(
-        set(
-            "{ } < > @ [ % __ undefined null nan object todo fixme tbd tbc tba descri conten image photo intro title beskriv innehall beschreib inhalt click replace copy "
-            "could cannot timed available unavailable blocked exist moved deleted removed expired found http error serverfel fehler erreur fel status incident felkod request forbidden gateway gone internal "
-            "page webmaster reloading sidan kontrollera forsok cette seite introuvable denied permission session continue connect disconnect fatal traceback keyerror file loading code division warning exception fault "
-            "find looking maintenance check many script skript js java browser properly webblasar aktivera tillat sla".split()
-        )
-        | LOREM_SURE
-        | (FILLER - {"har"})
-    )
+SIGNS = frozenset("{ } < > @ [ % __".split())
+UNSET_TRIGGERS = frozenset("undefined null nan object".split())
+ANNOUNCED_TRIGGERS = frozenset("todo fixme tbd tbc tba descri conten image photo intro title text beskriv innehall beschreib inhalt click replace copy".split())
+ERROR_TRIGGERS = frozenset(
+    "could cannot timed available unavailable blocked exist moved deleted removed expired found http error serverfel fehler erreur fel status incident felkod request forbidden gateway gone internal "
+    "page webmaster reloading sidan kontrollera forsok cette seite introuvable denied permission session continue connect disconnect fatal traceback keyerror file loading code division warning exception fault "
+    "find looking maintenance check many".split()
 )
+SCRIPT_TRIGGERS = frozenset("script skript js java browser properly webblasar aktivera tillat sla".split())
+FILLER_TRIGGERS = frozenset(LOREM_SURE | (FILLER - {"har"}))
+TRIGGERS = tuple(sorted(SIGNS | UNSET_TRIGGERS | ANNOUNCED_TRIGGERS | ERROR_TRIGGERS | SCRIPT_TRIGGERS | FILLER_TRIGGERS))
 # -------------------------------------------------------------------------------------------------
 
 
@@ -196,21 +212,33 @@ def _filler(words: list[str]) -> bool:
     return bool(words) and len(words) <= 5 and all(w in LOREM for w in words) and any(w in ("lorem", "ipsum") for w in words)
 
 
-def may_hold(low: str, triggers: Sequence[str] = TRIGGERS) -> bool:
+def may_hold(low: str, triggers: Collection[str] = TRIGGERS) -> bool:
     """Whether the flat form of a text can hold residue: a trigger, or nothing but "har" as filler."""
     return any(map(low.__contains__, triggers)) or low.count("har") >= 6
 
 
-def judge(seg: str, triggers: Sequence[str] = TRIGGERS) -> int:
+def judge(seg: str, triggers: Collection[str] = TRIGGERS) -> int:
     """NONE, WHOLE (the segment is residue) or WITHIN (a placeholder stands in it). triggers: those that the text has."""
-    low = flat(seg)
+    return _judged(seg, flat(seg), triggers)
+
+
+def _judged(seg: str, low: str, triggers: Collection[str]) -> int:
+    """The same for a segment whose flat form is known."""
     if not may_hold(low, triggers):
         return NONE
     if "<" in seg:
         low = flat(_KNOWN_TAG.sub(" ", seg))
-    if _filler(_WORD.findall(low)) or ANNOUNCED.fullmatch(low) or ANNOUNCING.search(low) or UNSET_SURE.search(low) or len(UNSET.findall(low)) >= 2 or ERRORS.search(low) or SCRIPTS.search(low):
+    has = {t for t in triggers if t in low}
+    every = "" in has
+    if (every or has & FILLER_TRIGGERS or "har" in low) and _filler(_WORD.findall(low)):
+        return WHOLE
+    if (every or has & ANNOUNCED_TRIGGERS) and (ANNOUNCED.fullmatch(low) or ANNOUNCING.search(low)):
+        return WHOLE
+    if (every or has & UNSET_TRIGGERS) and (UNSET_SURE.search(low) or len(UNSET.findall(low)) >= 2):
         return WHOLE
-    return WITHIN if _placeholder(seg) else NONE
+    if (every or has & ERROR_TRIGGERS) and ERRORS.search(low) or (every or has & SCRIPT_TRIGGERS) and SCRIPTS.search(low):
+        return WHOLE
+    return WITHIN if (every or not SIGNS.isdisjoint(triggers)) and _placeholder(seg) else NONE
 
 
 class _Votes:
@@ -221,6 +249,11 @@ class _Votes:
     def __init__(self) -> None:
         self.place: dict[str, int] = {}
         self.lanes = np.zeros((self.SIZE, 8), dtype=np.uint64)
+        self.hashes = np.zeros(self.SIZE, dtype=np.uint64)
+
+    def lanes_of(self, texts: list[list[str]]) -> np.ndarray:
+        """A number for each word of all texts, one after the other; equal for equal words."""
+        return self.hashes[self.places(texts)]
 
     def places(self, texts: list[list[str]]) -> np.ndarray:
         place, new, out = self.place, [], []
@@ -233,8 +266,10 @@ class _Votes:
                 out.append(k)
         if len(place) > len(self.lanes):
             self.lanes = np.concatenate([self.lanes, np.zeros((len(place), 8), dtype=np.uint64)])
+            self.hashes = np.concatenate([self.hashes, np.zeros(len(place), dtype=np.uint64)])
         if new:
             hashes = np.array([xxhash.xxh64_intdigest(w) for w in new], dtype="<u8")
+            self.hashes[len(place) - len(new) : len(place)] = hashes
             self.lanes[len(place) - len(new) : len(place)] = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").view("<u8")
         return np.array(out)
 
@@ -261,46 +296,124 @@ def simhashes(texts: list[list[str]]) -> np.ndarray:
     return np.packbits(counts * np.int64(2) > sizes[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
-SEGMENT_SCHEMA = "doc_id bigint, seg bigint, sim bigint, kind int, words string"
-_OUT = pa.schema([("doc_id", pa.int64()), ("seg", pa.int64()), ("sim", pa.int64()), ("kind", pa.int32()), ("words", pa.string())])
-_CHUNK = 4000
+SEGMENT_SCHEMA = "doc_id bigint, page bigint, n int, kind int, words string"
+_OUT = pa.schema([("doc_id", pa.int64()), ("page", pa.int64()), ("n", pa.int32()), ("kind", pa.int32()), ("words", pa.string())])
+_CHUNK = 20_000
 
 
-def _flush(rows: list[tuple[int, int, list[str]]]) -> pa.RecordBatch:
-    sims = simhashes([w for _, _, w in rows]).view(np.int64) if rows else np.zeros(0, dtype=np.int64)
-    joined = [" ".join(w) for _, _, w in rows]
-    segs = np.array([xxhash.xxh64_intdigest(f"{k == WITHIN} {t}") for (_, k, _), t in zip(rows, joined, strict=True)], dtype=np.uint64).view(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array(segs), pa.array(sims), pa.array([r[1] for r in rows], pa.int32()), pa.array(joined)], schema=_OUT)
+@functools.cache
+def _automaton() -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for t in TRIGGERS:
+        found.add_word(t, t)
+    found.make_automaton()
+    return found
+
+
+def judged_segments(text: str) -> tuple[str, dict[str, int]]:
+    """The words of a text, lines and sentences apart, and the kind of each of its distinct segments, by their words.
+
+    Digits are one, so that numbers don't tell segments apart. The text is cut and
+    folded as a whole (folding neither makes nor removes a line end), and its
+    segments are judged only if it holds a trigger.
+    """
+    shown = _CUT.sub("\n", visible(text))
+    low = flat(shown)
+    words = _BETWEEN.sub(" ", _DIGITS.sub("0", low.replace("_", " ")))
+    keys = [x.strip() for x in words.split("\n")]
+    found = dict.fromkeys(keys, NONE)
+    if triggers := {t for _, t in _automaton().iter(low)} or ({"har"} if low.count("har") >= 6 else ()):
+        for key, seg, folded in zip(keys, shown.split("\n"), low.split("\n"), strict=True):
+            if seg and (kind := _judged(" ".join(seg.split()), " ".join(folded.split()), triggers)):
+                found[key] = WHOLE if WHOLE in (found[key], kind) else WITHIN
+    if found.get("") == NONE:
+        del found[""]
+    return words, found
 
 
 def cut_segments(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, seg (hash of the words), sim, kind, words of each segment with a word or a label."""
+    """doc_id, page (a hash of the words of the text), n (its segments), kind and words of each distinct segment of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows: list[tuple[int, int, list[str]]] = []
+            ids: list[int] = []
+            pages: list[int] = []
+            sizes: list[int] = []
+            kinds: list[int] = []
+            words: list[str] = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if not t or i is None:
                     continue
-                shown = visible(t)
-                low = flat(shown)
-                triggers = [x for x in TRIGGERS if x in low]
-                for s in set(segments(shown)):
-                    kind, words = judge(s, triggers), _WORD.findall(_DIGITS.sub("0", flat(s)))
-                    if kind or len(words) >= SHINGLE:
-                        rows.append((i, kind, words or [""]))
-                if len(rows) >= _CHUNK:
-                    yield _flush(rows)
-                    rows = []
-            yield _flush(rows)
+                whole, found = judged_segments(t)
+                n = len(found)
+                ids += [i] * n
+                pages += [xxhash.xxh64_intdigest(whole) - (1 << 63)] * n
+                sizes += [n] * n
+                kinds += found.values()
+                words += found
+                if len(ids) >= _CHUNK:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip((ids, pages, sizes, kinds, words), _OUT.types, strict=True)], schema=_OUT)
+                    ids, pages, sizes, kinds, words = [], [], [], [], []
+            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip((ids, pages, sizes, kinds, words), _OUT.types, strict=True)], schema=_OUT)
 
     return spread(docs.select(doc_id, text)).mapInArrow(run, SEGMENT_SCHEMA)
 
 
+_KEYED = pa.schema([("seg", pa.int64()), ("sim", pa.int64()), ("kind", pa.int32()), ("words", pa.string()), ("size", pa.int32()), ("prefix", pa.list_(pa.int64()))])
+
+
+def prefixes(texts: list[list[str]]) -> tuple[np.ndarray, pa.ListArray]:
+    """The number of distinct shingles of each text of five words or more, and its size // 5 + 1 least shingle hashes.
+
+    Of two segments of Jaccard similarity 4/5 at least, each lacks a fifth of its
+    shingles at most in the other, so the least hash that both have is among
+    these on both sides: equal hashes find every such pair.
+    """
+    sizes = np.array([len(t) for t in texts])
+    word = _votes.lanes_of(texts)
+    at = np.cumsum(sizes) - sizes
+    # Every place that has SHINGLE words of its own text from it on.
+    owner = np.repeat(np.arange(len(texts)), sizes - SHINGLE + 1)
+    start = np.arange(len(owner)) - np.repeat(np.cumsum(sizes - SHINGLE + 1) - (sizes - SHINGLE + 1), sizes - SHINGLE + 1) + at[owner]
+    mixed = np.zeros(len(owner), dtype=np.uint64)
+    for k in range(SHINGLE):
+        mixed = (mixed ^ word[start + k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    order = np.lexsort((mixed, owner))
+    owner, mixed = owner[order], mixed[order]
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (mixed[1:] != mixed[:-1])
+    owner, mixed = owner[new], mixed[new]
+    size = np.bincount(owner, minlength=len(texts))
+    kept = size // 5 + 1
+    first = np.cumsum(size) - size
+    take = np.arange(len(owner)) - first[owner] < kept[owner]
+    return size, pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(kept)]), pa.int32()), pa.array(mixed[take].view(np.int64)))
+
+
+def fingerprints(segs: DataFrame) -> DataFrame:
+    """seg, sim, kind, words, size and prefix of segments (seg, kind, words, and their SimHash if they have one) of five words or more."""
+    given = "sim" in segs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            texts = [w.split(" ") for w in b.column(2).to_pylist()]
+            sim = b.column(3) if given else pa.array(simhashes(texts).view(np.int64))
+            size, prefix = prefixes(texts)
+            yield pa.RecordBatch.from_arrays([b.column(0), sim, b.column(1), b.column(2), pa.array(size, pa.int32()), prefix], schema=_KEYED)
+
+    long = segs.filter(F.size(F.split("words", " ")) >= SHINGLE).select("seg", F.col("kind").cast("int").alias("kind"), "words", *(["sim"] if given else []))
+    return long.mapInArrow(run, "seg bigint, sim bigint, kind int, words string, size int, prefix array<bigint>")
+
+
 def _tables(df: DataFrame) -> DataFrame:
-    """A row for each 16-bit part of the SimHash."""
-    parts = F.array(*[F.struct(F.lit(k).alias("part"), F.shiftrightunsigned("sim", 16 * k).bitwiseAND(F.lit(0xFFFF)).alias("key")) for k in range(PARTS)])
-    return df.select("seg", "sim", F.explode(parts).alias("p")).select("seg", "sim", "p.part", "p.key")
+    """A row for each two parts of the SimHash."""
+    part = lambda p: F.shiftrightunsigned("sim", p[0]).bitwiseAND(F.lit((1 << p[1]) - 1))
+    pairs = [(i, j) for i in range(len(PARTS)) for j in range(i)]
+    keys = F.array(*[part(PARTS[i]) * F.lit(1 << 17) + part(PARTS[j]) * F.lit(16) + F.lit(k) for k, (i, j) in enumerate(pairs)])
+    return df.select("seg", "sim", F.explode(keys).alias("key"))
 
 
 def shingles(words: Column) -> Column:
@@ -310,48 +423,68 @@ def shingles(words: Column) -> Column:
 
 
 def _prefixes(df: DataFrame) -> DataFrame:
-    """seg, size, key: the size // 5 + 1 least hashes of a segment's shingles.
-
-    Of two segments of Jaccard similarity 4/5 at least, each lacks a fifth of its
-    shingles at most in the other, so the least hash that both have is among
-    these on both sides: equal keys find every such pair.
-    """
-    hashes = df.select("seg", F.sort_array(F.transform(shingles(F.col("words")), lambda s: F.xxhash64(s))).alias("hashes"))
-    size = F.size("hashes")
-    return hashes.select("seg", size.alias("size"), F.explode(F.slice("hashes", F.lit(1), F.floor(size / 5).cast("int") + 1)).alias("key"))
+    return df.select("seg", "size", F.explode("prefix").alias("key"))
 
 
 def _alike_in_size(a: Column, b: Column) -> Column:
     return (a * 5 >= b * 4) & (b * 5 >= a * 4)
 
 
-def spread_labels(segs: DataFrame) -> DataFrame:
-    """Segments (seg) that a trusted label reaches over near-duplicates, the trusted ones included."""
-    long = segs.filter(F.size(F.split("words", " ")) >= SHINGLE)
+def _near(frontier: DataFrame, open_: DataFrame) -> DataFrame:
+    """Open segments (seg) near one of the frontier."""
+    ends = F.col("a.seg").alias("from_seg"), F.col("b.seg").alias("to_seg")
+    near = broadcast_if_small(_tables(frontier)).alias("a").join(_tables(open_).alias("b"), "key")
+    near = near.filter(F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= HAMMING).select(*ends)
+    like = broadcast_if_small(_prefixes(frontier)).alias("a").join(_prefixes(open_).alias("b"), "key")
+    near = near.unionByName(like.filter(_alike_in_size(F.col("a.size"), F.col("b.size"))).select(*ends)).distinct()
+    a = frontier.select(F.col("seg").alias("from_seg"), F.col("words").alias("from_words"))
+    b = open_.select(F.col("seg").alias("to_seg"), F.col("words").alias("to_words"))
+    pairs = dealt(near, "from_seg", "to_seg").join(a, "from_seg").join(b, "to_seg").select("to_seg", shingles(F.col("from_words")).alias("x"), shingles(F.col("to_words")).alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    alike = both >= SIMILARITY * (F.size("x") + F.size("y") - both)
+    return pairs.filter(alike).select(F.col("to_seg").alias("seg")).distinct()
+
+
+def _mates(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Segments (seg) without a label that keep company with labelled ones. rows: page, n, kind, seg of all texts."""
+    on_pages = rows.filter(F.col("n") <= PAGE).select("page", "seg", "kind").distinct()
+    known = broadcast_if_small(labelled)
+    pages = on_pages.join(known, "seg", "left_semi").select("page").distinct()
+    mates = on_pages.filter(F.col("kind") == NONE).join(known, "seg", "left_anti").join(pages, "page", "left_semi")
+    told = cut(mates.groupBy("seg").agg(F.count(F.lit(1)).alias("told")).filter(F.col("told") >= MATES))
+    texts = rows.join(broadcast_if_small(told.select("seg")), "seg", "left_semi").select("seg", "page").distinct().groupBy("seg").agg(F.count(F.lit(1)).alias("texts"))
+    return told.join(texts, "seg").filter(F.col("told") >= PURE * F.col("texts")).select("seg")
+
+
+def spread_labels(segs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Segments (seg) that a trusted label reaches, the trusted ones included.
+
+    segs: seg, kind, words, and what ``fingerprints`` adds if it is there. rows:
+    page, n, kind and seg of each segment of each text; without them only
+    near-duplicates are linked. The frontier of a round is what the round before
+    has labelled.
+    """
+    long = segs if "prefix" in segs.columns else fingerprints(segs)
     labelled = segs.filter(F.col("kind") == WHOLE).select("seg")
-    frontier, reached = long.filter(F.col("kind") == WHOLE), [labelled]
-    open_ = long.filter(F.col("kind") == NONE)
+    if rows is not None:
+        labelled = cut(rows.filter(F.col("kind") == WHOLE).select("seg").distinct())
+    frontier, open_ = long.filter(F.col("kind") == WHOLE), long.filter(F.col("kind") == NONE)
+    reached = [labelled]
     while True:
-        ends = F.col("a.seg").alias("from_seg"), F.col("b.seg").alias("to_seg")
-        near = broadcast_if_small(_tables(frontier)).alias("a").join(_tables(open_).alias("b"), ["part", "key"])
-        near = near.filter(F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= HAMMING).select(*ends)
-        like = broadcast_if_small(_prefixes(frontier)).alias("a").join(_prefixes(open_).alias("b"), "key")
-        near = near.unionByName(like.filter(_alike_in_size(F.col("a.size"), F.col("b.size"))).select(*ends)).distinct()
-        a = frontier.select(F.col("seg").alias("from_seg"), F.col("words").alias("from_words"))
-        b = open_.select(F.col("seg").alias("to_seg"), F.col("words").alias("to_words"))
-        pairs = near.join(a, "from_seg").join(b, "to_seg").select("to_seg", shingles(F.col("from_words")).alias("x"), shingles(F.col("to_words")).alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        alike = both >= SIMILARITY * (F.size("x") + F.size("y") - both)
-        new = cut(pairs.filter(alike).select(F.col("to_seg").alias("seg")).distinct())
+        new = _near(frontier, open_)
+        if rows is not None:
+            new = new.unionByName(_mates(rows, _union(reached))).distinct()
+        new = cut(new)
         if new.isEmpty():
-            break
+            return _union(reached)
         reached.append(new)
+        new = broadcast_if_small(new)
         frontier = open_.join(new, "seg", "left_semi")
         open_ = open_.join(new, "seg", "left_anti")
-    result = reached[0]
-    for r in reached[1:]:
-        result = result.unionByName(r)
-    return result
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def residue(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -361,9 +494,10 @@ def residue(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     several rows is reported if one of them holds residue. Whole texts are read.
     The segments are written once to the shared checkpoint folder.
     """
-    rows = written(cut_segments(docs, doc_id, text))
-    # seg determines sim and words; as keys they allow a hash aggregation.
-    segs = rows.groupBy("seg", "sim", "words").agg(F.max("kind").alias("kind"))
-    whole = spread_labels(written(segs))
+    # Words with a placeholder among them are another segment than the same words without.
+    seg = F.xxhash64(F.col("kind") == WITHIN, "words")
+    rows = written(cut_segments(docs, doc_id, text).withColumn("seg", seg))
+    segs = rows.filter(F.col("kind") != WITHIN).groupBy("seg", "words").agg(F.max("kind").alias("kind"))
+    whole = spread_labels(written(fingerprints(dealt(segs, "seg"))), rows.select("page", "n", "kind", "seg"))
     within = rows.filter(F.col("kind") == WITHIN).select("doc_id")
     return rows.join(broadcast_if_small(whole), "seg", "left_semi").select("doc_id").unionByName(within).distinct()

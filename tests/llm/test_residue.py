@@ -144,6 +144,15 @@ def test_each_alternative_has_a_trigger(name):
     assert parts or covered(tree)
 
 
+GUARDS = {"ANNOUNCED": "ANNOUNCED_TRIGGERS", "ANNOUNCING": "ANNOUNCED_TRIGGERS", "UNSET": "UNSET_TRIGGERS", "UNSET_SURE": "UNSET_TRIGGERS", "ERRORS": "ERROR_TRIGGERS", "SCRIPTS": "SCRIPT_TRIGGERS", "PLACEHOLDERS": "SIGNS", "SLOT": "SIGNS", "UNDERSCORED": "SIGNS", "ANGLED": "SIGNS"}
+
+
+@pytest.mark.parametrize("name", GUARDS)
+def test_each_alternative_has_a_trigger_of_its_pattern(name, monkeypatch):
+    monkeypatch.setattr(R, "TRIGGERS", tuple(getattr(R, GUARDS[name])))
+    test_each_alternative_has_a_trigger(name)
+
+
 UNTRIGGERED = [
     "Image coming soon", "Content coming soon", "Contenu à venir", "Add your content here", "This content is not available.", "This site cannot be displayed.", "The document no longer exists.", "The file does not exist.", "410 Gone",
     "Segmentation fault", "You do not have permission to view this.", "Excepteur sint occaecat cupidatat non proident, sunt in culpa qui offici", "har har har har har har", "kommer har kommer har", "filler sample filler sample", '<a href="{{ url }}">soup</a>',
@@ -183,3 +192,36 @@ def test_near_duplicates_against_brute_force(spark):
     near = {k for k in range(1, len(texts), 2) if len(sets[k] & sets[k - 1]) >= 0.8 * len(sets[k] | sets[k - 1])}
     assert 200 < len(near) < len(pairs)
     assert {r["seg"] for r in R.spread_labels(segs).collect()} == near | set(range(0, len(texts), 2))
+
+
+def judged_one_by_one(text):
+    """The definition: each segment by itself, without triggers of the text."""
+    found = {}
+    for s in R.segments(R.visible(text)):
+        key, kind = " ".join(R._WORD.findall(R._DIGITS.sub("0", R.flat(s)))), R.judge(s, ("",))
+        old = found.get(key, R.NONE)
+        found[key] = R.WHOLE if R.WHOLE in (old, kind) else max(old, kind)
+    if found.get("") == R.NONE:
+        del found[""]
+    return found
+
+
+def test_texts_are_judged_as_their_segments(spark, data):
+    texts = [*RESIDUE, *EARNEST, *UNTRIGGERED, " ".join(RESIDUE), "\n".join(EARNEST + RESIDUE), "a_b __c__\u0301.\u0301 d\u2026 E. \u0130X! \u00df?\n\u0301\n{{ x }}", "1.5 dl. 2,5!\r\n\x85x"]
+    texts += [r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect() if r["text"]]
+    for t in texts:
+        assert R.judged_segments(t)[1] == judged_one_by_one(t), t
+
+
+KNOWN, LEARNED = "Please enable JavaScript to view this recipe.", "Zur Startseite bitte hier entlang"
+
+
+def test_messages_are_learned_from_their_pages(spark):
+    """A wording that the grammar lacks stands with known ones on three pages, and then alone; kitchen talk beside it stays clean."""
+    pages = [f"{KNOWN}\n{LEARNED} ({k})\nQuelle {'abc'[k]}" for k in range(3)]
+    clean = [f"Whisk the eggs.\n{x}" for x in ("Stir.", "Fold it in.", "Sieve the flour.", "Rest.")] + ["Whisk the eggs.\n" + KNOWN]
+    texts = [*pages, LEARNED + " (7)", *clean]
+    assert found(spark, texts) == {0, 1, 2, 3, 8}
+    assert found(spark, [pages[0]] * 9 + [LEARNED]) == set(range(9))  # copies of a page are one page
+    long = "\n".join(f"Step {w}." for w in "abcdefg")
+    assert found(spark, [f"{KNOWN}\n{long}\n{LEARNED} {w}" for w in "xyz"] + [LEARNED + " x"]) == {0, 1, 2}  # no pages
