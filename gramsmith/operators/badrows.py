@@ -8,17 +8,25 @@ A recursive-descent grammar of measure lines::
     plain   = (any but "," and '"')*
     measure = blank* ("0" | digits [("." | ",") digits] " "* unit) blank*
 
-A syntax error names its place. A cell ends with its line: a quoted cell that
-runs over a line end is a quoting fault. The queries judge each line alone. In a
-block of lines (RecordGrammar.block) the parser recovers after a broken quote at
-the next record-start anchor, a line that parses with the right number of cells,
-so one broken quote costs the lines up to there and not the rest of the file.
+A syntax error names its place, and the parser recovers from it: after a broken
+quote it resumes at the next record-start anchor (``RecordGrammar.records``). What
+an anchor is depends on the form of the file:
+
+* Where a record is a line, as in a table of lines, every line start is an anchor:
+  a quote that isn't closed on its line is broken, costs that line, and the next
+  one is parsed afresh. So lines may come in any order, and a file that holds most
+  of them needs no task of its own.
+* Where quoted cells may run over line ends (``RecordGrammar.block``, for whole
+  files), an open quote goes on over the lines up to its end; if that gives no
+  record, the quote is broken, and the parser resumes at the first later line that
+  is validated as a record: it has the header's number of cells, each of them a
+  measure of its column.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -50,18 +58,18 @@ class MeasureRule:
         return self.rules[ingredient]
 
     def valid(self, cell: str, ingredient: str) -> bool:
+        return self.typed(cell, ingredient) is not None
+
+    def typed(self, cell: str, ingredient: str) -> tuple[float, str] | None:
+        """The value and the unit of a valid measure; a bare 0 is in grams."""
         key = (cell, ingredient)
         if key not in self.memo:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
-            self.memo[key] = self.rule(ingredient).fullmatch(cell.lower()) is not None
+            m = self.rule(ingredient).fullmatch(cell.lower())
+            self.memo[key] = m and ((0.0, "g") if m[1] is None else (float(m[1].replace(",", ".")), m[2]))
         return self.memo[key]
 
-    def typed(self, cell: str, ingredient: str) -> tuple[float, str] | None:
-        """The value and the unit of a valid measure; a bare 0 is in grams."""
-        m = self.rule(ingredient).fullmatch(cell.lower())
-        return m and ((0.0, "g") if m[1] is None else (float(m[1].replace(",", ".")), m[2]))
-
 
 @dataclass(frozen=True)
 class SyntaxFault:
@@ -121,35 +129,63 @@ class RecordGrammar:
             self.headers[raw] = [c.strip().lower() for c in cells] if isinstance(cells, list) else None
         return self.headers[raw]
 
-    def fault(self, line: str, header: list[str] | None, nr: int = 1) -> SyntaxFault | None:
-        """The first reason that applies; a line of a file without a header has a wrong count."""
-        cells = self.lines.cells(line, nr)
+    def record(self, text: str, header: list[str] | None, nr: int = 1) -> list[tuple[float, str]] | SyntaxFault:
+        """A typed record, or the first fault that applies; one of a file without a header has a wrong count."""
+        cells = self.lines.cells(text, nr)
         if isinstance(cells, SyntaxFault):
             return cells
         if header is None or len(cells) != len(header):
             return SyntaxFault("column_count", nr, len(cells))
+        out = []
         for k, (cell, name) in enumerate(zip(cells, header, strict=True)):
-            if not self.rule.valid(cell, name):
+            if (t := self.rule.typed(cell, name)) is None:
                 return SyntaxFault("value", nr, k)
-        return None
+            out.append(t)
+        return out
+
+    def fault(self, line: str, header: list[str] | None, nr: int = 1) -> SyntaxFault | None:
+        got = self.record(line, header, nr)
+        return got if isinstance(got, SyntaxFault) else None
+
+    def records(self, lines: Iterable[tuple[str, list[str] | None, int]], over_lines: bool = False) -> Iterator[tuple[int, list[tuple[float, str]] | SyntaxFault]]:
+        """The place of each record among the lines (text, header, number), and the record or its fault.
+
+        Blank lines are skipped. With over_lines quoted cells may hold line ends.
+        """
+        lines = list(lines) if over_lines else lines
+        resume = 0
+        for at, (text, header, nr) in enumerate(lines):
+            if at < resume or not text or not text.strip():
+                continue
+            got = self.record(text, header, nr)
+            if over_lines and isinstance(got, SyntaxFault) and got.reason == "quoting":
+                got, resume = self._over_lines(lines, at, got)
+            yield at, got
+
+    def _over_lines(self, lines: list, at: int, broken: SyntaxFault) -> tuple[list[tuple[float, str]] | SyntaxFault, int]:
+        """The record that begins with an open quote on a line, line ends in it read as blanks, and the next line to be read; or the fault and the next anchor."""
+        text, header, nr = lines[at]
+        for end in range(at + 1, len(lines)):
+            more = lines[end][0] or ""
+            if '"' in more:
+                whole = self.record(" ".join([text, *((x[0] or "") for x in lines[at + 1 : end + 1])]), header, nr)
+                if not isinstance(whole, SyntaxFault) or whole.reason == "value":
+                    return whole, end + 1
+            if more.strip() and not isinstance(self.record(*lines[end]), SyntaxFault):
+                return broken, end
+        return broken, len(lines)
 
     def block(self, text: str) -> Iterator[list[tuple[float, str]] | SyntaxFault]:
-        """A whole file: its typed records and its faults, in order.
+        """A whole file, its first non-blank line the header: its typed records and its faults, in order.
 
         After a broken quote, lines up to the next anchor belong to the broken
-        record. A line is an anchor if it parses with the header's count.
+        record.
         """
-        lines = [(n, x) for n, x in enumerate(text.splitlines(), 1) if x.strip()]
-        head = self.header(lines[0][1]) if lines else None
-        broken = False
-        for nr, line in lines[1:]:
-            cells = self.lines.cells(line, nr)
-            anchor = isinstance(cells, list) and head is not None and len(cells) == len(head)
-            if broken and not anchor:
-                continue
-            f = self.fault(line, head, nr)
-            broken = f is not None and f.reason == "quoting"
-            yield f or [self.rule.typed(c, n) for c, n in zip(cells, head, strict=True)]
+        lines = text.splitlines()
+        first = next((k for k, x in enumerate(lines) if x.strip()), len(lines))
+        head = self.header(lines[first]) if first < len(lines) else None
+        for _, got in self.records([(x, head, n) for n, x in enumerate(lines[first + 1 :], first + 2)], over_lines=True):
+            yield got
 
 
 _kept: dict[tuple, RecordGrammar] = {}
@@ -175,8 +211,8 @@ def with_headers(lines: DataFrame) -> DataFrame:
     holds a large share of the lines.
     """
     heads = lines.filter("line_nr = 1 AND file_name IS NOT NULL").groupBy(F.col("file_name").alias("head_file")).agg(F.min_by("raw_line", "line_id").alias("head_line"))
-    body = spread(lines.filter("line_nr IS NULL OR line_nr <> 1").select("line_id", "raw_line", "file_name"))
-    return body.join(broadcast_if_small(heads), F.col("file_name") == F.col("head_file"), "left").select("line_id", "raw_line", "head_line")
+    body = spread(lines.filter("line_nr IS NULL OR line_nr <> 1").select("line_id", "raw_line", "file_name", "line_nr"))
+    return body.join(broadcast_if_small(heads), F.col("file_name") == F.col("head_file"), "left").select("line_id", "raw_line", "head_line", "line_nr")
 
 
 def bad_lines(lines: DataFrame, units: tuple, table: str = "measure_lines") -> DataFrame:
@@ -188,20 +224,31 @@ def bad_lines(lines: DataFrame, units: tuple, table: str = "measure_lines") -> D
     return judge_lines(with_headers(lines), units, table)
 
 
-def judge_lines(lines: DataFrame, units: tuple, table: str) -> DataFrame:
-    """The same for lines that have their header: line_id, raw_line, head_line. A map, in batches and streams."""
+LOCATED = SCHEMA + ", line_nr int, place int"
+_LOCATED = pa.schema([*_OUT, ("line_nr", pa.int32()), ("place", pa.int32())])
+
+
+def located_faults(lines: DataFrame, units: tuple, table: str) -> DataFrame:
+    """Faults with their place, of lines that have their header: line_id, raw_line, head_line, line_nr. A map, in batches and streams.
+
+    place is the letter of a quoting fault, the number of cells of a wrong count,
+    and the cell of an invalid value, each from 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = _grammar(units)
         for b in batches:
-            ids, reasons = [], []
-            for i, line, head in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                if line and line.strip() and (f := g.fault(line, g.header(head))):
-                    ids.append(i)
-                    reasons.append(f.reason)
-            yield _out(table, ids, reasons)
+            ids, texts, heads, nrs = (b.column(k).to_pylist() for k in range(4))
+            found = [(at, f) for at, f in g.records((t, g.header(h), n or 0) for t, h, n in zip(texts, heads, nrs, strict=True)) if isinstance(f, SyntaxFault)]
+            columns = [[table] * len(found), [ids[at] for at, _ in found], [f.reason for _, f in found], [nrs[at] for at, _ in found], [f.column for _, f in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _LOCATED.types, strict=True)], schema=_LOCATED)
+
+    return lines.mapInArrow(run, LOCATED)
 
-    return lines.mapInArrow(run, SCHEMA)
+
+def judge_lines(lines: DataFrame, units: tuple, table: str) -> DataFrame:
+    """The faults of lines that have their header, without their place."""
+    return located_faults(lines, units, table).select("record_table", "record_id", "reason")
 
 
 def good_lines(lines: DataFrame, units: tuple) -> DataFrame:
@@ -212,9 +259,10 @@ def good_lines(lines: DataFrame, units: tuple) -> DataFrame:
         g = _grammar(units)
         for b in batches:
             rows = []
-            for i, line, head in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                if line and line.strip() and not g.fault(line, names := g.header(head)):
-                    rows += [(i, k, n, *g.rule.typed(c, n)) for k, (c, n) in enumerate(zip(g.lines.cells(line), names, strict=True))]
+            ids, texts, heads = (b.column(k).to_pylist() for k in range(3))
+            for at, record in g.records((t, g.header(h), 0) for t, h in zip(texts, heads, strict=True)):
+                if not isinstance(record, SyntaxFault):
+                    rows += [(ids[at], k, n, *cell) for k, (cell, n) in enumerate(zip(record, g.header(heads[at]), strict=True))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, schema.types, strict=True)], schema=schema)
 
     return with_headers(lines).mapInArrow(run, "line_id bigint, place int, ingredient string, value double, unit string")

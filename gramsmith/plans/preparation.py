@@ -40,11 +40,16 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return lines.unionByName(swedish).unionByName(crumble)
 
 
+def p5_located(spark: SparkSession, d: str) -> DataFrame:
+    """The faults of lines with their place."""
+    return badrows.located_faults(badrows.with_headers(table(spark, d, "measure_lines")), _units(spark, d), "measure_lines")
+
+
 def p5_loaded(spark: SparkSession, d: str) -> DataFrame:
     return badrows.good_lines(table(spark, d, "measure_lines"), _units(spark, d))
 
 
-QUERIES = {"p2_found": p2_found, "p2_units_linked": p2_units_linked, "p3_found": p3_found, "p5_found": p5_found, "p5_loaded": p5_loaded}
+QUERIES = {"p2_found": p2_found, "p2_units_linked": p2_units_linked, "p3_found": p3_found, "p5_found": p5_found, "p5_located": p5_located, "p5_loaded": p5_loaded}
 
 _VALID = r"""(regexp_full_match({c}, '\s*0\s*') OR lower(regexp_extract({c}, '^\s*[0-9]+(?:[.,][0-9]+)? *(\S.*?)\s*$', 1)) IN (SELECT lower(unit_name) FROM measure_unit WHERE ingredient IS NULL)
   OR lower(regexp_extract({c}, '^\s*[0-9]+(?:[.,][0-9]+)? *(\S.*?)\s*$', 1)) || '|' || {n} IN (SELECT lower(unit_name) || '|' || ingredient FROM measure_unit WHERE ingredient IS NOT NULL))"""
@@ -54,19 +59,35 @@ def _bad(column: str, ingredient: str) -> str:
     return f"{column} IS NOT NULL AND NOT {_VALID.format(c=column, n=repr(ingredient))}"
 
 
-ORACLES = {
-    "p5_found": rf"""
+_LINES = rf"""
 WITH h AS (SELECT file_name, min_by(raw_line, line_id) AS head FROM measure_lines WHERE line_nr = 1 GROUP BY 1),
 hc AS (SELECT file_name, list_transform(string_split(head, ','), lambda x: lower(trim(replace(x, '"', '')))) AS names FROM h),
-l AS (SELECT line_id, raw_line, names FROM measure_lines LEFT JOIN hc USING (file_name) WHERE (line_nr IS NULL OR line_nr <> 1) AND regexp_replace(raw_line, '\s', '', 'g') <> ''),
+l AS (SELECT line_id, line_nr, raw_line, names FROM measure_lines LEFT JOIN hc USING (file_name) WHERE (line_nr IS NULL OR line_nr <> 1) AND regexp_replace(raw_line, '\s', '', 'g') <> ''),
 q AS (SELECT *, regexp_full_match(raw_line, '(?:"(?:[^"]|"")*"|[^",]*)(?:,(?:"(?:[^"]|"")*"|[^",]*))*') AS fine, len(regexp_replace(regexp_replace(raw_line, '"(?:[^"]|"")*"', '', 'g'), '[^,]', '', 'g')) + 1 AS n FROM l),
 c AS (SELECT line_id, unnest(regexp_extract_all(raw_line, '("(?:[^"]|"")*"|[^",]*)(?:,|$)', 1)[1:n]) AS cell, unnest(names) AS name FROM q WHERE fine AND n = len(names)),
 v AS (SELECT line_id, name, CASE WHEN cell LIKE '"%' THEN replace(cell[2:len(cell) - 1], '""', '"') ELSE cell END AS cell FROM c),
-b AS (SELECT DISTINCT line_id FROM v WHERE NOT {_VALID.format(c="cell", n="name")})
+b AS (SELECT DISTINCT line_id FROM v WHERE NOT {_VALID.format(c="cell", n="name")})"""
+
+ORACLES = {
+    "p5_found": rf"""
+{_LINES}
 SELECT 'measure_lines' AS record_table, line_id AS record_id, CASE WHEN NOT fine THEN 'quoting' WHEN names IS NULL OR n <> len(names) THEN 'column_count' ELSE 'value' END AS reason
 FROM q WHERE NOT fine OR names IS NULL OR n <> len(names) OR line_id IN (SELECT line_id FROM b)
 UNION ALL SELECT 'swedish_recipe_pannkisar', recipe_id, 'value' FROM swedish_recipe_pannkisar WHERE ({_bad("butter", "butter")}) OR ({_bad("salt", "salt")})
 UNION ALL SELECT 'crumble', recipe_id, 'value' FROM crumble WHERE {_bad("sugar", "sugar")}""",
+    "p5_located": rf"""
+{_LINES},
+w AS (SELECT line_id, name, cell, row_number() OVER (PARTITION BY line_id ORDER BY k) - 1 AS k FROM (SELECT line_id, unnest(range(1, len(names) + 1)) AS k, unnest(names) AS name, unnest(regexp_extract_all(raw_line, '("(?:[^"]|"")*"|[^",]*)(?:,|$)', 1)[1:n]) AS cell FROM q WHERE fine AND n = len(names))),
+x AS (SELECT line_id, min(k) AS k FROM (SELECT line_id, k, name, CASE WHEN cell LIKE '"%' THEN replace(cell[2:len(cell) - 1], '""', '"') ELSE cell END AS cell FROM w) WHERE NOT {_VALID.format(c="cell", n="name")} GROUP BY line_id)
+SELECT 'measure_lines' AS record_table, line_id AS record_id, CASE WHEN NOT fine THEN 'quoting' WHEN names IS NULL OR n <> len(names) THEN 'column_count' ELSE 'value' END AS reason, line_nr,
+  CAST(CASE WHEN NOT fine THEN length(regexp_extract(raw_line, '^(?:(?:"(?:[^"]|"")*"|[^",]*),)*')) WHEN names IS NULL OR n <> len(names) THEN n ELSE k END AS INT) AS place
+FROM q LEFT JOIN x USING (line_id) WHERE NOT fine OR names IS NULL OR n <> len(names) OR k IS NOT NULL""",
+    "p5_loaded": rf"""
+{_LINES},
+e AS (SELECT line_id, unnest(range(0, len(names))) AS k, unnest(names) AS name, unnest(regexp_extract_all(raw_line, '("(?:[^"]|"")*"|[^",]*)(?:,|$)', 1)[1:n]) AS cell FROM q WHERE fine AND n = len(names) AND line_id NOT IN (SELECT line_id FROM b)),
+g AS (SELECT line_id, k, name, CASE WHEN cell LIKE '"%' THEN replace(cell[2:len(cell) - 1], '""', '"') ELSE cell END AS cell FROM e)
+SELECT line_id, CAST(k AS INT) AS place, name AS ingredient, CASE WHEN regexp_full_match(cell, '\s*0\s*') THEN 0.0::DOUBLE ELSE CAST(replace(regexp_extract(cell, '^\s*([0-9]+(?:[.,][0-9]+)?)', 1), ',', '.') AS DOUBLE) END AS value,
+  CASE WHEN regexp_full_match(cell, '\s*0\s*') THEN 'g' ELSE lower(regexp_extract(cell, '^\s*[0-9]+(?:[.,][0-9]+)? *(\S.*?)\s*$', 1)) END AS unit FROM g""",
     "p2_found": """
 WITH i AS (SELECT record_id, unnest(ingredients) AS x, generate_subscripts(ingredients, 1) - 1 AS pos FROM curated_recipes),
 s AS (SELECT record_id, unnest(sources) AS x, generate_subscripts(sources, 1) - 1 AS pos FROM curated_recipes)

@@ -20,6 +20,6 @@ def bad_lines(lines: DataFrame, headers: DataFrame, units: tuple) -> DataFrame:
     an unknown file comes out as column_count.
     """
     heads = headers.select(F.col("file_name").alias("head_file"), F.col("raw_line").alias("head_line"))
-    body = lines.filter("line_nr IS NULL OR line_nr <> 1").select("line_id", "raw_line", "file_name")
-    joined = body.join(heads, F.col("file_name") == F.col("head_file"), "left").select("line_id", "raw_line", "head_line")
+    body = lines.filter("line_nr IS NULL OR line_nr <> 1").select("line_id", "raw_line", "file_name", "line_nr")
+    joined = body.join(heads, F.col("file_name") == F.col("head_file"), "left").select("line_id", "raw_line", "head_line", "line_nr")
     return badrows.judge_lines(joined, units, "measure_lines")

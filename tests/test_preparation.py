@@ -165,6 +165,26 @@ def test_recovery_at_anchors():
     assert len(out) == 4
 
 
+def test_quoted_cells_over_lines():
+    g = badrows.RecordGrammar(badrows.MeasureRule(UNIT_ROWS))
+    out = list(g.block('\nFlour,Egg\n"1\n g",2 st\n\n1 dl,0\n'))
+    assert out == [[(1.0, "g"), (2.0, "st")], [(1.0, "dl"), (0.0, "g")]]
+    # A broken quote: two cells alone make no anchor, they must be measures; the first valid record does.
+    out = list(g.block('Flour,Egg\n"3 dl,1 st\nrest, of the cell\n1 dl,x\n2 dl,0\n1 dl,x\n'))
+    assert [(f.reason, f.line, f.column) if isinstance(f, badrows.SyntaxFault) else f for f in out] == [("quoting", 2, 0), [(2.0, "dl"), (0.0, "g")], ("value", 6, 1)]
+    assert [f.line for f in g.block('Flour\n"1 dl\nx\n"y\n')] == [2] and list(g.block("")) == [] == list(g.block("\n \n"))
+
+
+def test_recovery_of_lines(spark):
+    """Each line start is an anchor: a broken quote costs its line only, whatever the order of lines; faults are located."""
+    rows = [(1, "f", 1, "Flour,Egg"), (2, "f", 2, '"3 dl,1 st'), (3, "f", 3, "2 dl,0"), (4, "f", 4, '1 dl,"1" st'), (5, "f", 5, "1 dl,x"), (6, "f", 6, "1 dl"), (7, "f", 7, "1 dl,1 st")]
+    df = spark.createDataFrame(rows, "line_id bigint, file_name string, line_nr int, raw_line string")
+    for frame in (df, df.orderBy(df.line_id.desc())):
+        got = sorted(tuple(r)[1:] for r in badrows.located_faults(badrows.with_headers(frame), UNIT_ROWS, "t").collect())
+        assert got == [(2, "quoting", 2, 0), (4, "quoting", 4, 5), (5, "value", 5, 1), (6, "column_count", 6, 1)]
+        assert {r["line_id"] for r in badrows.good_lines(frame, UNIT_ROWS).collect()} == {3, 7}
+
+
 @given(st.text(alphabet='ab",', max_size=12))
 @settings(max_examples=300, deadline=None)
 def test_line_grammar_equals_rules(line):
