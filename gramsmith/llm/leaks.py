@@ -33,6 +33,8 @@ from gramsmith.session import SMALL_ROWS, spread
 
 SPAN = 12
 WINDOW = 6
+#: Letters of an item that a block reckons with; longer items make smaller blocks.
+LETTERS = 1000
 # Of any length where attributes follow its name; a bracket within prose that happens to be closed much later is no tag.
 _TAG = regex.compile(r"</?[a-zA-Z](?:[^<>]{0,200}|[\w:.\-]*(?:\s+[\w:@.\-]+)*\s*=[^<>]*)>|<!--.*?-->", regex.S)
 # Words with inner hyphens and apostrophes are one word; underscores are markup.
@@ -133,51 +135,61 @@ class TemplateIndex:
                     yield item, place, at
             start = end
 
-    def leaks(self, text: str) -> list[int]:
-        canon, exact = self.read(text)
-        found: set[int] = set()
-        seen: set[tuple[int, int]] = set()  # (item, diagonal) with the end of the run in reach
+    def runs(self, canon: list[int]) -> Iterator[tuple[int, int, int, int]]:
+        """Item, first place and place after the last in the item, and shift to the text, of each maximal run of canonical words that holds a window."""
         reach: dict[tuple[int, int], int] = {}
         for item, place, at in self.hits(canon):
-            if item in found:
-                continue
-            mine = self.items[item][2]
-            if mine[place : place + WINDOW] != exact[at : at + WINDOW]:  # slots differ: no word-for-word passage
-                continue
             diagonal = (item, at - place)
             if reach.get(diagonal, -1) > at:
                 continue
-            low, high = _run(mine, exact, place, at)
+            low, high = _run(self.items[item][1], canon, place, at)
             reach[diagonal] = high + at - place
-            seen.add(diagonal)
-            if _long_enough(mine, exact, low, high, at - place):
-                found.add(item)
+            yield item, low, high, at - place
+
+    def leaks(self, text: str) -> list[int]:
+        """Items that leak: runs of template windows whose slots hold the item's own values, with one change at most."""
+        canon, exact = self.read(text)
+        found: set[int] = set()
+        for item, low, high, shift in self.runs(canon):
+            if item in found:
+                continue
+            mine = self.items[item][2]
+            for first, last in _identical(mine, exact, low, high, shift):
+                if _long_enough(mine, exact, first, last, shift):
+                    found.add(item)
+                    break
         return sorted({self.items[k][0] for k in found})
 
-    def templates(self, text: str) -> list[tuple[int, int]]:
+    def templates(self, text: str, whole_runs: bool = True) -> list[tuple[int, int]]:
         """Items of which SPAN canonical words stand in the text with consistent slots, and how many slot values differ.
 
-        The slots are those of the whole run of canonical words that both have: a run in which one value became several is
-        no instance, even if SPAN words of it would be consistent.
+        With whole_runs the slots are those of the whole run of canonical words that both have: a run in which one value
+        became several is no instance, even if SPAN words of it would be consistent. Without, each longest consistent
+        stretch of a run is one. Of several the one with the fewest changes counts.
         """
         canon, exact = self.read(text)
         best: dict[int, int] = {}
-        reach: dict[tuple[int, int], int] = {}
-        for item, place, at in self.hits(canon):
-            mine = self.items[item][1]
-            diagonal = (item, at - place)
-            if reach.get(diagonal, -1) > at:
-                continue
-            low, high = _run(mine, canon, place, at)
-            reach[diagonal] = high + at - place
+        for item, low, high, shift in self.runs(canon):
             if high - low < SPAN:
                 continue
-            changed = _consistent([(self.items[item][2][k], exact[k + at - place], mine[k]) for k in range(low, high)])
-            if changed is not None:
-                best[item] = min(changed, best.get(item, changed))
+            slots = [(self.items[item][2][k], exact[k + shift], self.items[item][1][k]) for k in range(low, high)]
+            for first, last in [(0, high - low)] if whole_runs else _stretches(slots):
+                changed = _consistent(slots[first:last])
+                if changed is not None:
+                    best[item] = min(changed, best.get(item, changed))
         return sorted((self.items[k][0], n) for k, n in best.items())
 
 
+def _identical(mine: list[int], theirs: list[int], low: int, high: int, shift: int) -> Iterator[tuple[int, int]]:
+    """The parts of WINDOW words or more of a canonical run in which all slots hold the same values."""
+    first = low
+    for k in range(low, high + 1):
+        if k == high or mine[k] != theirs[k + shift]:
+            if k - first >= WINDOW:
+                yield first, k
+            first = k + 1
+
+
 def _consistent(slots: list[tuple[int, int, int]]) -> int | None:
     """How many distinct slot values differ, or None if one value became several."""
     became: dict[tuple[int, int], int] = {}
@@ -187,6 +199,24 @@ def _consistent(slots: list[tuple[int, int, int]]) -> int | None:
     return sum(m != t for (_, m), t in became.items())
 
 
+def _stretches(slots: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """The longest stretches of SPAN slots or more in which no value became several; two places move along the run."""
+    last_other: dict[tuple[int, int], tuple[int, int]] = {}  # what a value became last, and the last place where it was something else
+    first = 0
+    for k, (mine, theirs, typed) in enumerate(slots):
+        key = (typed, mine)
+        now, other = last_other.get(key, (theirs, -1))
+        if now != theirs:
+            other = max(j for j in range(k) if slots[j][0] == mine and slots[j][2] == typed)
+            if other >= first:
+                if k - first >= SPAN:
+                    yield first, k
+                first = other + 1
+        last_other[key] = (theirs, other)
+    if len(slots) - first >= SPAN:
+        yield first, len(slots)
+
+
 def _run(a: list[int], b: list[int], i: int, j: int) -> tuple[int, int]:
     """The maximal equal run through (i, j): its first place in a and the place after its last."""
     low, high, shift = i, i, j - i
@@ -240,9 +270,10 @@ def _index(key: str, items: list[tuple[int, str]]) -> TemplateIndex:
 
 
 def _blocks(items: DataFrame, item_id: str, item_text: str, limit: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of a bounded number of rows."""
+    """The items in blocks of a bounded number of rows and letters."""
     rows = items.select(item_id, item_text).filter(F.col(item_text).isNotNull() & F.col(item_id).isNotNull())
-    parts = max(1, -(-rows.count() // max(1, limit // 2)))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(item_text)), F.lit(0)).alias("letters")).first()
+    parts = max(1, -(-size["n"] // max(1, limit // 2)), -(-size["letters"] // (limit * LETTERS)))
     for k in range(parts):
         block = rows if parts == 1 else rows.filter(F.pmod(F.xxhash64(item_id), F.lit(parts)) == k)
         yield [(r[0], r[1]) for r in block.collect()]
@@ -278,7 +309,10 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     return _search(docs, doc_id, text, items, item_id, item_text, limit, "doc_id bigint, item_id bigint", out, lambda index, t: [(i,) for i in index.leaks(t)])
 
 
-def templates(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, limit: int = SMALL_ROWS) -> DataFrame:
-    """doc_id, item_id and changed: SPAN words of an item's template with consistent slots, and how many slot values differ."""
+def templates(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, item_text: str, limit: int = SMALL_ROWS, whole_runs: bool = True) -> DataFrame:
+    """doc_id, item_id and changed: SPAN words of an item's template with consistent slots, and how many slot values differ.
+
+    whole_runs: as in ``TemplateIndex.templates``. Nulls and repeats as in ``leaks``.
+    """
     out = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("changed", pa.int32())])
-    return _search(docs, doc_id, text, items, item_id, item_text, limit, "doc_id bigint, item_id bigint, changed int", out, lambda index, t: index.templates(t))
+    return _search(docs, doc_id, text, items, item_id, item_text, limit, "doc_id bigint, item_id bigint, changed int", out, lambda index, t: index.templates(t, whole_runs))

@@ -30,8 +30,8 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_templates(spark: SparkSession, d: str) -> DataFrame:
-    """Re-parameterised items: the template with consistent slots, and how many slot values differ."""
-    return leaks.templates(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_item"), "item_id", "text")
+    """Re-parameterised items: twelve words or more of the template with consistent slots, and how many slot values differ."""
+    return leaks.templates(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_item"), "item_id", "text", whole_runs=False)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:

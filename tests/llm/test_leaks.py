@@ -110,3 +110,48 @@ def test_tags_of_any_length_are_markup():
     prose = "with x <y then " + "flour and milk " * 30 + "> z"
     assert len(L.words(prose)) == len(prose.replace("<", "").replace(">", "").split())
     assert len(L.words("<a b " * 20_000)) == 40_000
+
+
+def brute_templates(index, text):
+    """Every stretch of every diagonal: maximal among the consistent ones of equal canonical words."""
+    canon, exact = index.read(text)
+    best = {}
+    for i, c, e in index.items:
+        for shift in range(-len(c), len(canon)):
+            ok = lambda a, b: all(0 <= k + shift < len(canon) and c[k] == canon[k + shift] for k in range(a, b)) and L._consistent([(e[k], exact[k + shift], c[k]) for k in range(a, b)]) is not None  # noqa: B023, E731
+            for a in range(max(0, -shift), len(c)):
+                for b in range(a + L.SPAN, len(c) + 1):
+                    if not ok(a, b):
+                        break
+                    if (a and ok(a - 1, b)) or (b < len(c) and ok(a, b + 1)):
+                        continue
+                    changed = L._consistent([(e[k], exact[k + shift], c[k]) for k in range(a, b)])
+                    best[i] = min(changed, best.get(i, changed))
+    return sorted(best.items())
+
+
+def test_stretches_against_brute_force():
+    """Planted: items with their numbers and units exchanged, consistently or not."""
+    r = random.Random(6)
+    numbers, units = ["20", "30", "ninety", "475", "7"], ["grams", "litres", "cups"]
+    items = [(k, " ".join(r.choice([r.choice(numbers), r.choice(units), "of", "rye", "mix", "and"]) for _ in range(20))) for k in range(4)]
+    index = L.TemplateIndex(items)
+    hits = split = 0
+    for _ in range(60):
+        w = r.choice(items)[1].split()
+        became = {x: r.choice([x, "31", "99", "pounds" if x in units else "8"]) for x in numbers + units}
+        w = [became.get(x, x) if r.random() < 0.9 else x for x in w]
+        text = "so " + " ".join(w[r.randrange(0, 4) :]) + " done"
+        want = brute_templates(index, text)
+        assert index.templates(text, whole_runs=False) == want, text
+        hits, split = hits + bool(want), split + (want != index.templates(text))
+    assert hits > 15 and split > 3
+
+
+def test_templates_query_finds_stretches(spark):
+    """A full copy in which one value became two: its last words are consistent."""
+    item = "In Grenholm, thirteen drops of milk against thirteen drops of rye and thirteen drops of oat in Grenholm once more"
+    df = spark.createDataFrame([(1, item.replace("thirteen", "eleven", 1))], "doc_id bigint, text string")
+    items = spark.createDataFrame([(2, item)], "item_id bigint, text string")
+    got = L.templates(df, "doc_id", "text", items, "item_id", "text", whole_runs=False)
+    assert [tuple(x) for x in got.collect()] == [(1, 2, 0)]
