@@ -51,17 +51,18 @@ def size(key: Column) -> Column:
     return F.element_at(_literal_map(SIZES, "map<string,string>"), key)
 
 
-def to_grams(value: Column, key: Column, density: float, pieces: Mapping[str, float]) -> Column:
-    """Grams of a measure of a known ingredient; null where it has no weight for the unit.
+def to_grams(value: Column, key: Column, density: float | Column, pieces: Mapping[str, float]) -> Column:
+    """Grams of a measure of an ingredient; null where it has no weight for the unit.
 
     All factors are literals of one map, and the conversion stays within code
     generation. The factor of a unit comes before the density, so that 2 dl and
     200 ml are the same number.
     """
-    factors = {n: (f, 1.0) for n, f in WEIGHTS.items()} | {n: (f, float(density)) for n, f in VOLUMES.items()} | {n: (float(pieces[s]), 1.0) for n, s in SIZES.items() if s in pieces}
-    table = F.create_map(*[x for n, (f, d) in factors.items() for x in (F.lit(n), F.struct(F.lit(f).alias("f"), F.lit(d).alias("d")))])
+    pieces_ = {n: float(pieces[s]) for n, s in SIZES.items() if s in pieces}
+    factors = {n: (f, n in VOLUMES) for n, f in (WEIGHTS | VOLUMES | pieces_).items()}
+    table = F.create_map(*[x for n, (f, v) in factors.items() for x in (F.lit(n), F.struct(F.lit(f).alias("f"), F.lit(v).alias("is_volume")))])
     hit = F.try_element_at(table, key)
-    return value * hit["f"] * hit["d"]
+    return value * hit["f"] * F.when(hit["is_volume"], density if isinstance(density, Column) else F.lit(float(density))).otherwise(F.lit(1.0))
 
 
 def is_whole_unit(unit: Column) -> Column:
@@ -74,6 +75,10 @@ def milliliters(grams: Column, density: Column) -> Column:
     return grams / F.nullif(density, F.lit(0.0))
 
 
+def grams_of_milliliters(ml: Column, density: Column) -> Column:
+    return ml * density
+
+
 def pieces_of(grams: Column, piece: Column) -> Column:
     """Null where there is no default piece."""
     return grams / F.nullif(piece, F.lit(0.0))

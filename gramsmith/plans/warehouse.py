@@ -38,9 +38,7 @@ def _measures(spark: SparkSession, d: str, *more: str) -> DataFrame:
 def _grams(spark: SparkSession, d: str, *more: str) -> DataFrame:
     """Lines with grams by the density of their part, which is a column here."""
     part = table(spark, d, "part").select("p_partkey", "p_type", (F.lit(0.5) + F.col("p_size") / 100).alias("density"))
-    key = F.col("p.key")
-    of = lambda m: F.try_element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), key)
-    grams = F.col("p.value") * F.coalesce(of(measures.WEIGHTS), of(measures.VOLUMES) * F.col("density"), F.when(measures.size(key) == "large", F.lit(PIECE)))
+    grams = measures.to_grams(F.col("p.value"), F.col("p.key"), F.col("density"), {"large": PIECE})
     return _measures(spark, d, *more).join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_type", *more, grams.alias("grams"), F.col("density"))
 
 
@@ -263,8 +261,26 @@ def left_density_lookup(spark: SparkSession, d: str) -> DataFrame:
 def unmatched_aliases(spark: SparkSession, d: str) -> DataFrame:
     """Typed names that are the name of no food, case and outer blanks apart."""
     t = _tables(spark, d)
-    food = t.food.select(F.lower(measures.strip(F.col("name"))).alias("key")).distinct()
-    return t.synonym.filter("name IS NOT NULL").withColumn("key", F.lower(measures.strip(F.col("name")))).join(broadcast_if_small(food), "key", "left_anti").select("id", "name")
+    key = F.lower(measures.strip(F.col("name")))
+    aliases = t.synonym.filter("name IS NOT NULL").select("id", "name", key.alias("description"))
+    return registry.aliases_to_foods(aliases, t.food.select("id", key.alias("name"), F.lit("fdc").alias("source")))[1].select("id", "name")
+
+
+def _built(spark: SparkSession, d: str) -> registry.Tables:
+    """The registry built from the tables, their ids being the order of loading."""
+    t = _tables(spark, d)
+    foods = t.food.filter("name IS NOT NULL").select(F.col("id").alias("fdc_id"), "name", F.col("id").alias("row"))
+    portions = t.portion.select(F.col("food_id").cast("string").alias("fdc_id"), F.col("unit_name").alias("modifier"), F.lit("1").alias("amount"), F.col("gram_weight").cast("string").alias("gram_weight"), F.col("id").alias("row"))
+    measured = table(spark, d, "density").filter("NOT isnan(g_per_ml)").select(F.col("sample_code").alias("name"), F.col("g_per_ml").cast("string").alias("density"), F.lit(None).cast("string").alias("specific_gravity"), "source", F.col("id").alias("row"))
+    return registry.build(spark, foods, portions, measured)
+
+
+def registry_portions(spark: SparkSession, d: str) -> DataFrame:
+    return _built(spark, d).portion.select("id", "food_id", "unit_name", "gram_weight", "source")
+
+
+def registry_densities(spark: SparkSession, d: str) -> DataFrame:
+    return _built(spark, d).density.select("id", "food_id", "g_per_ml", "source")
 
 
 def first_writer_synonym(spark: SparkSession, d: str) -> DataFrame:
@@ -352,7 +368,8 @@ def measured_densities(spark: SparkSession, d: str) -> DataFrame:
 def portions_of_foods(spark: SparkSession, d: str) -> DataFrame:
     """Portions of foods with an fdc_id; others don't join."""
     food = table(spark, d, "food").filter("fdc_id IS NOT NULL").select(F.col("id").alias("food_id"), "fdc_id")
-    return table(spark, d, "portion").select("id", "food_id", "unit_name").join(food, "food_id").select("id", "fdc_id", "unit_name")
+    portions = table(spark, d, "portion").select("id", "food_id", "unit_name").join(broadcast_if_small(food), "food_id").drop("food_id")
+    return registry.portions_of_foods(portions, food).select("id", "fdc_id", "unit_name")
 
 
 def portions_without_food(spark: SparkSession, d: str) -> DataFrame:
@@ -372,7 +389,7 @@ QUERIES = {
     for f in (
         parse_measures, unit_to_grams, whole_unit_lookup, normalize_100, wide_pivot, to_long, distinct_compositions, merge_full, merge_partial, column_stats, ci_bounds, min_sample_size, sample_size, bakers_percentage, proportions,
         stats_by_status, zero_filtered_means, zero_imputed_stats, recipe_scaled, recipe_restricted, as_percentages, ingredient_values, grams_to_ml_pieces, ratio_diff, overall_diff, diff_ranked, format_ratio, union_files, table_counts,
-        density_pick, density_alternatives, density_derived, food_ids, portion_filter, portion_per_unit, portion_pieces, default_piece, synonym_lookup, left_density_lookup, unmatched_aliases, first_writer_synonym, suggest_names,
+        density_pick, density_alternatives, density_derived, food_ids, portion_filter, portion_per_unit, portion_pieces, default_piece, synonym_lookup, left_density_lookup, unmatched_aliases, registry_portions, registry_densities, first_writer_synonym, suggest_names,
         short_names, upsert_measured, catalog_rows, catalog_violations, catalog_json, header_columns, arity_faults, row_sums, interval_percent_of_mean, total_weight, restriction_ceiling, measured_densities, portions_of_foods,
         portions_without_food, density_or_default,
     )

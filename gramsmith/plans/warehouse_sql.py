@@ -51,6 +51,20 @@ _RANK = "CASE source WHEN 'fdc_derived' THEN 1 WHEN 'supplementary' THEN 2 ELSE
 _MEASURE_NAMES = "^(cup|tbsp|tablespoon|tsp|teaspoon|fl oz|fluid ounce|quart|pint|liter|oz)($|[ ,])"
 
 
+# The registry built from the tables: foods are those of food, portions those of portion, measured densities those of density by sample.
+_REG = rf"""rf AS (SELECT id AS fdc_id, name, row_number() OVER (ORDER BY id) AS food_id FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY id) AS k FROM food WHERE name IS NOT NULL) WHERE k = 1),
+ri AS (SELECT f.id AS fdc_id, rf.food_id FROM food f JOIN rf USING (name)),
+rp AS (SELECT p.id AS pos, ri.food_id, {_STRIP.format('unit_name')} AS unit_name, round(gram_weight, 4) AS gram_weight FROM portion p JOIN ri ON p.food_id = ri.fdc_id WHERE {_STRIP.format('unit_name')} <> '' AND gram_weight > 0),
+rk AS (SELECT *, min(pos) OVER (PARTITION BY food_id) AS first_at, CASE WHEN u = 'cup' THEN 0 WHEN u LIKE '%cup%' AND u LIKE '%fluid%' THEN 1 WHEN u LIKE '%cup%' AND u NOT LIKE '%whip%' THEN 2 WHEN u LIKE '%cup%' THEN 3
+  WHEN u IN ('tbsp', 'tablespoon') THEN 4 WHEN regexp_matches(u, '^tsp\b') THEN 5 WHEN u IN ('fl oz', 'fluid ounce') THEN 6 END AS tier FROM (SELECT *, lower(unit_name) AS u FROM rp)),
+rb AS (SELECT food_id, first_at AS pos, gram_weight, tier FROM (SELECT *, row_number() OVER (PARTITION BY food_id ORDER BY tier, pos) AS n FROM rk WHERE tier IS NOT NULL AND gram_weight > 0) WHERE n = 1),
+rs AS (SELECT * FROM (VALUES (1, 'rum', 0.94::DOUBLE), (2, 'juice (generic)', 1.05::DOUBLE), (3, 'apple (raw)', 0.56::DOUBLE), (4, 'raisins', 0.65::DOUBLE), (5, 'candied peel', 0.75::DOUBLE), (6, 'grated cheese (generic)', 0.38::DOUBLE), (7, 'potato starch', 0.72::DOUBLE), (8, 'cardamom seeds', 0.65::DOUBLE)) t(k, name, d)),
+ru AS (SELECT id AS pos, {_STRIP.format('sample_code')} AS name, g_per_ml, CASE WHEN {_STRIP.format('source')} <> '' THEN 'fao/' || {_STRIP.format('source')} ELSE 'fao' END AS source FROM density WHERE {_STRIP.format('sample_code')} <> '' AND g_per_ml > 0 AND NOT isnan(g_per_ml)),
+rn AS (SELECT lower(name) AS key, food_id FROM rf UNION ALL SELECT name, (SELECT count(*) FROM rf) + k FROM rs),
+rw AS (SELECT key, row_number() OVER (ORDER BY pos) + (SELECT count(*) + 8 FROM rf) AS food_id FROM (SELECT lower(name) AS key, min(pos) AS pos FROM ru WHERE lower(name) NOT IN (SELECT key FROM rn) GROUP BY 1)),
+rm AS (SELECT ru.pos, ru.g_per_ml, ru.source, x.food_id FROM ru JOIN (SELECT key, min(food_id) AS food_id FROM (SELECT * FROM rn UNION ALL SELECT * FROM rw) GROUP BY key) x ON lower(ru.name) = x.key)"""
+
+
 def _w(prefix: str, select: str) -> str:
     return f"WITH {prefix}\n{select}"
 
@@ -135,7 +149,15 @@ SELECT line_id, len(string_split(raw_line, ',')) AS n, expected FROM measure_lin
     "interval_percent_of_mean": _w(_A, "SELECT col_idx, round(ci_half / mean * 100, 6) AS percent FROM a"),
     "total_weight": _w(_R, "SELECT round(sum(value) * 120, 6) AS total FROM r"),
     "restriction_ceiling": _w(_R, "SELECT round(least((SELECT 60.0::DOUBLE / value FROM r WHERE ingredient = 'standard'), (SELECT 90.0::DOUBLE / value FROM r WHERE ingredient = 'promo')), 6) AS scale"),
-    "measured_densities": f"SELECT id, coalesce(g_per_ml, TRY_CAST(notes AS DOUBLE)) AS g_per_ml, 'fao/' || coalesce({_STRIP.format('source')}, '') AS source FROM density WHERE (g_per_ml IS NULL OR NOT isnan(g_per_ml)) AND coalesce(g_per_ml, TRY_CAST(notes AS DOUBLE)) > 0",
+    "measured_densities": f"SELECT id, coalesce(g_per_ml, TRY_CAST(notes AS DOUBLE)) AS g_per_ml, CASE WHEN {_STRIP.format('source')} <> '' THEN 'fao/' || {_STRIP.format('source')} ELSE 'fao' END AS source FROM density WHERE (g_per_ml IS NULL OR NOT isnan(g_per_ml)) AND coalesce(g_per_ml, TRY_CAST(notes AS DOUBLE)) > 0",
+    "registry_portions": _w(_REG, "SELECT row_number() OVER (ORDER BY pos) AS id, food_id, unit_name, gram_weight, 'fdc' AS source FROM rp"),
+    "registry_densities": _w(
+        _REG,
+        f"""SELECT id, food_id, g_per_ml, source FROM (
+  SELECT row_number() OVER (ORDER BY pos) AS id, food_id, round(gram_weight / CASE WHEN tier <= 3 THEN 236.588::DOUBLE WHEN tier = 4 THEN 14.787::DOUBLE WHEN tier = 5 THEN 4.929::DOUBLE ELSE 29.5735::DOUBLE END, 6) AS g_per_ml, 'fdc_derived' AS source FROM rb
+  UNION ALL SELECT (SELECT count(*) FROM rb) + k, (SELECT count(*) FROM rf) + k, d, 'supplementary' FROM rs
+  UNION ALL SELECT (SELECT count(*) + 8 FROM rb) + row_number() OVER (ORDER BY pos), food_id, round(g_per_ml, 6), source FROM rm)""",
+    ),
     "portions_of_foods": "SELECT p.id, f.fdc_id, p.unit_name FROM portion p JOIN food f ON f.id = p.food_id WHERE f.fdc_id IS NOT NULL",
     "portions_without_food": "SELECT id FROM portion p WHERE NOT EXISTS (SELECT 1 FROM food f WHERE f.id = p.food_id)",
     "density_or_default": f"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gramsmith.errors import InvalidInput
 from gramsmith.functions.measures import is_whole_unit, strip
-from gramsmith.session import broadcast_if_small, small_rows
+from gramsmith.session import broadcast_if_small, cut, free_name, small_rows
 from gramsmith.sources import seed
 
 FOOD, SYNONYM = "id bigint, name string, source string, fdc_id bigint", "id bigint, food_id bigint, name string"
@@ -69,30 +69,57 @@ class Tables:
 
 
 def read_foods(spark: SparkSession, path: str) -> DataFrame:
-    """fdc_id and description of a CSV with a header."""
-    return spark.read.csv(path, header=True, schema=None).select(F.col("fdc_id").try_cast("bigint").alias("fdc_id"), F.col("description").alias("name")).filter("fdc_id IS NOT NULL AND name IS NOT NULL")
+    """fdc_id, description and row of a CSV with a header."""
+    raw = in_file_order(spark.read.csv(path, header=True))
+    return raw.select(F.col("fdc_id").try_cast("bigint").alias("fdc_id"), F.col("description").alias("name"), "row").filter("fdc_id IS NOT NULL AND name IS NOT NULL")
 
 
 def read_portions(spark: SparkSession, path: str) -> DataFrame:
-    """fdc_id, modifier, amount and gram_weight of a CSV with a header, as text."""
-    return spark.read.csv(path, header=True).select("fdc_id", "modifier", "amount", "gram_weight")
+    """fdc_id, modifier, amount and gram_weight of a CSV with a header, as text, and row."""
+    return in_file_order(spark.read.csv(path, header=True)).select("fdc_id", "modifier", "amount", "gram_weight", "row")
 
 
 def read_measured(spark: SparkSession, path: str) -> DataFrame:
     """name, density, specific_gravity and source of a sheet of measured densities, saved as CSV."""
-    return spark.read.csv(path, header=True).select("name", "density", "specific_gravity", "source")
+    return in_file_order(spark.read.csv(path, header=True)).select("name", "density", "specific_gravity", "source", "row")
+
+
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Adds row, which sorts the rows of a scan as their files do, whatever splits the scan makes of them."""
+    return df.withColumn("row", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("at")))
+
+
+def numbered(df: DataFrame, start: int, *order: str) -> DataFrame:
+    """Adds id, from start + 1 on in an order, without gathering the rows in one task.
+
+    The rows are sorted over ranges and written; the sizes of the ranges, one
+    number a task, give where each begins.
+    """
+    where, at = free_name(df.columns, "range"), free_name(df.columns, "at")
+    rows = cut(df.orderBy(*order).withColumn(where, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    sizes = {r[where]: r["count"] for r in rows.groupBy(where).count().collect()}
+    begin, firsts = start + 1, {}
+    for k in sorted(sizes):
+        firsts[k], begin = begin, begin + sizes[k]
+    first = F.element_at(F.create_map(*[F.lit(x) for kv in (firsts or {-1: 0}).items() for x in kv]), F.col(where))
+    return rows.withColumn("id", (first + F.col(at)).cast("bigint")).drop(where, at)
 
 
 def valid_portions(raw: DataFrame) -> DataFrame:
     """Portions that can be used, per single unit: a name, an amount and a weight above 0."""
-    typed = raw.select(F.col("fdc_id").try_cast("bigint").alias("fdc_id"), strip(F.col("modifier")).alias("unit_name"), F.col("amount").try_cast("double").alias("amount"), F.col("gram_weight").try_cast("double").alias("grams"))
-    return typed.filter("unit_name <> '' AND amount > 0 AND grams > 0").select("fdc_id", "unit_name", F.round(F.col("grams") / F.col("amount"), 4).alias("gram_weight"))
+    typed = raw.select(F.col("fdc_id").try_cast("bigint").alias("fdc_id"), strip(F.col("modifier")).alias("unit_name"), F.col("amount").try_cast("double").alias("amount"), F.col("gram_weight").try_cast("double").alias("grams"), *_row(raw))
+    return typed.filter("unit_name <> '' AND amount > 0 AND grams > 0").select("fdc_id", "unit_name", F.round(F.col("grams") / F.col("amount"), 4).alias("gram_weight"), *_row(raw))
+
+
+def _row(df: DataFrame) -> list[str]:
+    return ["row"] if "row" in df.columns else []
 
 
 def usable_densities(raw: DataFrame) -> DataFrame:
     """The density, else the specific gravity, of rows where one is a number above 0."""
     value = F.coalesce(F.col("density").try_cast("double"), F.col("specific_gravity").try_cast("double"))
-    return raw.select(strip(F.col("name")).alias("name"), value.alias("g_per_ml"), F.concat(F.lit("fao/"), F.coalesce(strip(F.col("source")), F.lit(""))).alias("source")).filter("name <> '' AND g_per_ml > 0")
+    tag = strip(F.col("source"))
+    return raw.select(strip(F.col("name")).alias("name"), value.alias("g_per_ml"), F.when(tag != "", F.concat(F.lit("fao/"), tag)).otherwise(F.lit("fao")).alias("source"), *_row(raw)).filter("name <> '' AND g_per_ml > 0")
 
 
 # ---- Derivations --------------------------------------------------------------------------------
@@ -167,7 +194,7 @@ def first_writers(synonyms: DataFrame, order: str = "seq") -> DataFrame:
 
 def aliases_to_foods(aliases: DataFrame, food: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Aliases (name, description) with their food, and those of which the food is missing."""
-    f = food.filter("source = 'fdc'").select(F.col("id").alias("food_id"), F.col("name").alias("description"))
+    f = food.filter("source = 'fdc'").groupBy(F.col("name").alias("description")).agg(F.min("id").alias("food_id"))
     return aliases.join(f, "description"), aliases.join(f, "description", "left_anti")
 
 
@@ -191,47 +218,78 @@ def suggest(food: DataFrame, synonym: DataFrame, query: str, limit: int = 5) ->
 # ---- Build --------------------------------------------------------------------------------------
 
 
+def portions_of_foods(valid: DataFrame, foods: DataFrame) -> DataFrame:
+    """Portions with the food that has their fdc_id; the others don't join."""
+    return valid.join(foods, "fdc_id")
+
+
 def build(spark: SparkSession, foods: DataFrame, portions: DataFrame, measured: DataFrame | None = None) -> Tables:
     """The registry from foods (fdc_id, name), raw portions and measured densities.
 
-    A synonym belongs to who writes it first: foods, then supplementary foods, then
-    aliases, then measured foods. Numbers follow the order of loading.
+    Everything is numbered in the order of loading: foods of the file, then
+    supplementary ones, then measured ones that are new; portions of the file, then
+    supplementary ones; densities derived from portions, in the order of the first
+    portion of a food, then supplementary, then measured ones. A synonym belongs to
+    who writes it first: foods, then supplementary synonyms, then aliases, then
+    measured foods. Of rows with the same description the first is the food, and
+    of rows with the same fdc_id the last one counts. The order is that of row
+    where a frame has it, else that of its rows as they come.
     """
-    number = lambda df, start, *by: df.withColumn("id", F.row_number().over(Window.orderBy(*by)).cast("bigint") + start)
-    fdc = number(foods.dropDuplicates(["fdc_id"]).withColumn("source", F.lit("fdc")), 0, "fdc_id").select("id", "name", "source", "fdc_id")
-    n_fdc = fdc.count()
-    sup = spark.createDataFrame([(n_fdc + k, n, "supplementary", None) for k, (n, _, _) in enumerate(seed.SUPPLEMENTARY, 1)], FOOD)
+    in_order = lambda df: df if "row" in df.columns else df.withColumn("row", F.monotonically_increasing_id())
+    none = F.lit(None).cast("string").alias("notes")
+    # Foods.
+    listed = cut(in_order(foods).select("fdc_id", "name", "row"))
+    first = listed.groupBy("name").agg(F.min_by("fdc_id", "row").alias("fdc_id"), F.min("row").alias("row"))
+    fdc = numbered(first, 0, "row").select("id", "name", F.lit("fdc").alias("source"), "fdc_id")
+    n_fdc, n_sup = fdc.count(), len(seed.SUPPLEMENTARY)
+    sup = spark.createDataFrame([(n_fdc + k, n, "supplementary", None) for k, (n, *_) in enumerate(seed.SUPPLEMENTARY, 1)], FOOD)
     known = fdc.unionByName(sup)
     if measured is not None:
-        usable = usable_densities(measured)
-        found, new = upsert_measured(usable, known)
-        fao = number(new.groupBy("name").agg(F.lit("fao").alias("source")), n_fdc + len(seed.SUPPLEMENTARY), "name").select("id", "name", "source", F.lit(None).cast("bigint").alias("fdc_id"))
-        known = known.unionByName(fao)
-        by_name = known.groupBy(F.lower("name").alias("key")).agg(F.min("id").alias("food_id"))
-        fao_density = usable.withColumn("key", F.lower("name")).join(by_name, "key").select("food_id", "g_per_ml", "source", F.lit(None).cast("string").alias("notes"))
-    alias_rows = spark.createDataFrame([(k, *a) for k, a in enumerate(seed.ALIASES)], "seq bigint, name string, description string")
-    aliased, _ = aliases_to_foods(alias_rows, known)
-    sup_names = spark.createDataFrame([(k, s, n) for k, (n, syns, _) in enumerate(seed.SUPPLEMENTARY) for s in [n.lower(), *syns]], "seq bigint, name string, food string")
-    own = F.struct(F.lit(0).alias("stage"), F.col("id").alias("at"), F.lit(0).cast("bigint").alias("k"))
-    synonyms = known.filter("source <> 'fao'").select(F.col("id").alias("food_id"), "name", own.alias("seq"))
-    at = lambda stage: F.struct(F.lit(stage).alias("stage"), F.col("seq").alias("at"), F.lit(1).cast("bigint").alias("k"))
-    synonyms = synonyms.unionByName(sup_names.join(sup.select(F.col("id").alias("food_id"), F.col("name").alias("food")), "food").select("food_id", "name", at(1).alias("seq")))
-    synonyms = synonyms.unionByName(aliased.select("food_id", "name", at(2).alias("seq")))
-    if measured is not None:
-        synonyms = synonyms.unionByName(known.filter("source = 'fao'").select(F.col("id").alias("food_id"), "name", F.struct(F.lit(3).alias("stage"), F.col("id").alias("at"), F.lit(0).cast("bigint").alias("k")).alias("seq")))
-    synonym = number(first_writers(synonyms), 0, "seq").select("id", "food_id", "name")
-    fdc_ids = known.filter("fdc_id IS NOT NULL").select("fdc_id", F.col("id").alias("food_id"))
-    usda = valid_portions(portions).join(fdc_ids, "fdc_id").select("food_id", "unit_name", "gram_weight", F.lit("fdc").alias("source"), F.lit(None).cast("string").alias("notes"))
-    sup_portions = spark.createDataFrame([(d, u, g) for d, u, g in seed.SUPPLEMENTARY_PORTIONS], "name string, unit_name string, gram_weight double").join(known.filter("source = 'fdc'").select("name", F.col("id").alias("food_id")), "name")
-    portion = usda.withColumn("stage", F.lit(0)).unionByName(sup_portions.select("food_id", "unit_name", "gram_weight", F.lit("supplementary").alias("source"), F.lit(None).cast("string").alias("notes"), F.lit(1).alias("stage")))
-    portion = number(portion, 0, "stage", "food_id", "unit_name", "gram_weight").select("id", "food_id", "unit_name", "gram_weight", "source", "notes")
-    derived = derived_density(portion.filter("source = 'fdc'")).select("food_id", "g_per_ml", F.lit("fdc_derived").alias("source"), F.lit(None).cast("string").alias("notes"))
-    sup_density = spark.createDataFrame([(n_fdc + k, d) for k, (_, _, d) in enumerate(seed.SUPPLEMENTARY, 1)], "food_id bigint, g_per_ml double").select("food_id", "g_per_ml", F.lit("supplementary").alias("source"), F.lit(None).cast("string").alias("notes"))
+        usable = cut(usable_densities(in_order(measured)))
+        _, new = upsert_measured(usable, known)
+        fresh = new.groupBy(F.lower("name").alias("key")).agg(F.min_by("name", "row").alias("name"), F.min("row").alias("row"))
+        fao = numbered(fresh, n_fdc + n_sup, "row").select("id", "name", F.lit("fao").alias("source"), F.lit(None).cast("bigint").alias("fdc_id"))
+        known = cut(known.unionByName(fao))
+    # Synonyms.
+    seq = lambda stage, at: F.struct(F.lit(stage).alias("stage"), F.col(at).cast("bigint").alias("at"))
+    sup_names = spark.createDataFrame([(n_fdc + k, s, 100 * k + j) for k, (_, syns, *_) in enumerate(seed.SUPPLEMENTARY, 1) for j, s in enumerate(syns)], "food_id bigint, name string, at bigint")
+    aliased, _ = aliases_to_foods(seed_aliases(spark), known)
+    parts = [known.filter("source = 'fdc'").select(F.col("id").alias("food_id"), "name", seq(0, "id").alias("seq")), sup_names.select("food_id", "name", seq(1, "at").alias("seq")), aliased.select("food_id", "name", seq(2, "at").alias("seq"))]
+    parts.append(known.filter("source = 'fao'").select(F.col("id").alias("food_id"), "name", seq(3, "id").alias("seq")))
+    synonym = numbered(first_writers(reduce(DataFrame.unionByName, parts), "seq"), 0, "seq").select("id", "food_id", "name")
+    # Portions.
+    fdc_ids = listed.join(fdc.select("name", F.col("id").alias("food_id")), "name").groupBy("fdc_id").agg(F.max_by("food_id", "row").alias("food_id"))
+    usda = numbered(portions_of_foods(valid_portions(in_order(portions)), fdc_ids), 0, "row").select("id", "food_id", "unit_name", "gram_weight", F.lit("fdc").alias("source"), none)
+    n_usda = usda.count()
+    own, _ = aliases_to_foods(seed_portions(spark), known)
+    sup_portions = numbered(own, n_usda, "at").select("id", "food_id", F.col("name").alias("unit_name"), "gram_weight", F.lit("supplementary").alias("source"), "notes")
+    # Densities.
+    derived = derived_density(usda).join(usda.groupBy("food_id").agg(F.min("id").alias("row")), "food_id")
+    derived = numbered(derived, 0, "row").select("id", "food_id", "g_per_ml", F.lit("fdc_derived").alias("source"), F.lit("derived from portion data").alias("notes"))
+    n_derived = derived.count()
+    sup_density = spark.createDataFrame([(n_derived + k, n_fdc + k, d, "supplementary", note) for k, (_, _, d, note) in enumerate(seed.SUPPLEMENTARY, 1)], DENSITY)
     density = derived.unionByName(sup_density)
     if measured is not None:
-        density = density.unionByName(fao_density)
-    density = number(density, 0, F.col("source"), F.col("food_id"), F.col("g_per_ml")).select("id", "food_id", "g_per_ml", "source", "notes")
-    return Tables(known, synonym, density, portion)
+        by_name = known.groupBy(F.lower("name").alias("key")).agg(F.min("id").alias("food_id"))
+        rows = usable.withColumn("key", F.lower("name")).join(by_name, "key").select("food_id", F.round("g_per_ml", 6).alias("g_per_ml"), "source", "row")
+        density = density.unionByName(numbered(rows, n_derived + n_sup, "row").select("id", "food_id", "g_per_ml", "source", none))
+    return Tables(known, synonym, density, usda.unionByName(sup_portions))
+
+
+def seed_aliases(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(k, *a) for k, a in enumerate(seed.ALIASES)], "at bigint, name string, description string")
+
+
+def seed_portions(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(k, d, u, g, note) for k, (d, u, g, note) in enumerate(seed.SUPPLEMENTARY_PORTIONS)], "at bigint, description string, name string, gram_weight double, notes string")
+
+
+def warnings(spark: SparkSession, food: DataFrame) -> list[str]:
+    """What of the embedded aliases and portions names no food of the registry; their number is that of the embedded rows at most."""
+    _, aliases = aliases_to_foods(seed_aliases(spark), food)
+    _, portions = aliases_to_foods(seed_portions(spark), food)
+    out = [f"FDC food not found for synonym '{r['name']}': '{r['description']}'" for r in aliases.orderBy("at").collect()]
+    return out + [f"FDC food not found for portion: '{r['description']}'" for r in portions.orderBy("at").collect()]
 
 
 def seed_tables(spark: SparkSession) -> Tables:

@@ -59,16 +59,16 @@ FOODS = [
     ("Honey", 339.0, {}),
 ]
 
-# name, synonyms, density
+# name, synonyms, density, note
 SUPPLEMENTARY = [
-    ("Rum", ["rum"], 0.94),
-    ("Juice (generic)", ["juice"], 1.05),
-    ("Apple (raw)", ["apple", "apples"], 0.56),
-    ("Raisins", ["raisin", "raisins"], 0.65),
-    ("Candied peel", ["peel"], 0.75),
-    ("Grated cheese (generic)", ["grated cheese"], 0.38),
-    ("Potato starch", ["potato starch"], 0.72),
-    ("Cardamom seeds", ["cardamom seed", "cardamom seeds"], 0.65),
+    ("Rum", ["rum"], 0.94, "typical 40% ABV spirit"),
+    ("Juice (generic)", ["juice"], 1.05, "approximate for mixed fruit juices"),
+    ("Apple (raw)", ["apple", "apples"], 0.56, "chopped/diced apple bulk density"),
+    ("Raisins", ["raisin", "raisins"], 0.65, "packed raisins bulk density"),
+    ("Candied peel", ["peel"], 0.75, "chopped candied peel estimate"),
+    ("Grated cheese (generic)", ["grated cheese"], 0.38, "loosely packed grated cheese"),
+    ("Potato starch", ["potato starch"], 0.72, "bulk density of potato starch powder"),
+    ("Cardamom seeds", ["cardamom seed", "cardamom seeds"], 0.65, "whole cardamom seed bulk density"),
 ]
 
 # synonym, description
@@ -136,16 +136,16 @@ ALIASES = [
     ("malt syrup", "Syrups, malt"),
 ]
 
-# description, unit, grams
+# description, unit, grams, note
 SUPPLEMENTARY_PORTIONS = [
-    ("Egg, whole, raw, fresh", "EU XL", 78.0),
-    ("Egg, whole, raw, fresh", "EU LARGE", 68.0),
-    ("Egg, whole, raw, fresh", "EU MEDIUM", 58.0),
-    ("Egg, whole, raw, fresh", "EU SMALL", 48.0),
-    ("Egg, whole, raw, fresh", "XL", 56.0),
-    ("Butter, without salt", "CUBE", 56.699),
-    ("Butter, without salt", "KNOB", 30.0),
-    ("Potatoes, flesh and skin, raw", "large baking", 340.0),
-    ("Potatoes, flesh and skin, raw", "medium baking", 283.0),
-    ("Potatoes, flesh and skin, raw", "small baking", 226.0),
+    ("Egg, whole, raw, fresh", "EU XL", 78.0, "EU ≥73g, midpoint ~78g"),
+    ("Egg, whole, raw, fresh", "EU LARGE", 68.0, "EU 63-73g, midpoint ~68g"),
+    ("Egg, whole, raw, fresh", "EU MEDIUM", 58.0, "EU 53-63g, midpoint ~58g"),
+    ("Egg, whole, raw, fresh", "EU SMALL", 48.0, "EU <53g, midpoint ~48g"),
+    ("Egg, whole, raw, fresh", "XL", 56.0, "alias for USDA extra large"),
+    ("Butter, without salt", "CUBE", 56.699, "half stick"),
+    ("Butter, without salt", "KNOB", 30.0, "approximate"),
+    ("Potatoes, flesh and skin, raw", "large baking", 340.0, "US baking potato"),
+    ("Potatoes, flesh and skin, raw", "medium baking", 283.0, "US baking potato"),
+    ("Potatoes, flesh and skin, raw", "small baking", 226.0, "US baking potato"),
 ]

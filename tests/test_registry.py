@@ -57,3 +57,36 @@ def test_suggest(spark):
     assert [r["name"] for r in registry.suggest(food, syn, "FLOUR").collect()] == ["flour", "Rye flour", "rye flour", "Wheat flour, white"]
     assert [r["name"] for r in registry.suggest(food, syn, "100% r").collect()] == ["100% rye"]
     assert registry.suggest(food, syn, "  ").count() == 0
+
+
+def test_build_keeps_the_order_of_files(spark, tmp_path):
+    """Not of names, units or values."""
+    (tmp_path / "food.csv").write_text("fdc_id,description\n9,Zander\n7,Apple mash\n8,Milk\n9,Zander fillet\n")
+    (tmp_path / "portion.csv").write_text("fdc_id,modifier,amount,gram_weight\n7,\"cup, sliced\",1,200\n9,cup,1,300\n7,\"cup, chopped\",1,100\n7,medium,1,50\n7,Medium,1,40\n9,cup,1,100\n404,cup,1,1\n")
+    (tmp_path / "fao.csv").write_text("name,density,specific_gravity,source\nTreacle,1.4,,KT\nmilk,1.9,,B\nMILK,1.03,,A\nAgave,1.2,,\ntreacle,1.3,,Z\n")
+    read = lambda f, n: f(spark, str(tmp_path / n))
+    t = registry.build(spark, read(registry.read_foods, "food.csv"), read(registry.read_portions, "portion.csv"), read(registry.read_measured, "fao.csv"))
+    foods = {r["name"]: r["id"] for r in t.food.collect()}
+    assert [foods[n] for n in ("Zander", "Apple mash", "Milk", "Zander fillet", "Rum", "Cardamom seeds", "Treacle", "Agave")] == [1, 2, 3, 4, 5, 12, 13, 14] and len(foods) == 14
+    portions = [(r["id"], r["food_id"], r["unit_name"], r["gram_weight"]) for r in t.portion.orderBy("id").collect()]
+    # Of rows with one fdc_id the last is the food that portions go to.
+    assert portions == [(1, 2, "cup, sliced", 200.0), (2, 4, "cup", 300.0), (3, 2, "cup, chopped", 100.0), (4, 2, "medium", 50.0), (5, 2, "Medium", 40.0), (6, 4, "cup", 100.0)]
+    rows = [tuple(r) for r in t.density.orderBy("id").collect()]
+    assert [(i, f, s) for i, f, _, s, _ in rows][:3] == [(1, 2, "fdc_derived"), (2, 4, "fdc_derived"), (3, 5, "supplementary")]
+    assert rows[0][2] == round(200 / 236.588, 6) and rows[1][2] == round(300 / 236.588, 6)
+    assert rows[2][4] == "typical 40% ABV spirit" and rows[0][4] == "derived from portion data"
+    assert [r[1:4] for r in rows[10:]] == [(13, 1.4, "fao/KT"), (3, 1.9, "fao/B"), (3, 1.03, "fao/A"), (14, 1.2, "fao"), (13, 1.3, "fao/Z")]
+    r = registry.Registry.of(t)
+    assert r.get("apple mash").pieces == {"medium": 40.0} and r.get("milk").density == 1.9 and r.get("treacle").density == 1.4
+    with pytest.raises(InvalidInput):
+        r.get("Juice (generic)")  # only its synonyms are looked up
+    missing = registry.warnings(spark, t.food)
+    assert missing[0] == "FDC food not found for synonym 'milk': 'Milk, whole, 3.25% milkfat, with added vitamin D'"
+    assert missing[-1] == "FDC food not found for portion: 'Potatoes, flesh and skin, raw'"
+
+
+def test_numbers_run_over_ranges(spark):
+    df = spark.createDataFrame([(f"k{(k * 7919) % 1000:04d}",) for k in range(1000)], "k string").repartition(7)
+    got = [(r["k"], r["id"]) for r in registry.numbered(df, 10, "k").collect()]
+    assert sorted(got) == [(f"k{k:04d}", 11 + k) for k in range(1000)]
+    assert registry.numbered(df.limit(0), 0, "k").count() == 0
