@@ -4,9 +4,12 @@ The first non-blank line of a file is its header, quoted names allowed; every
 further non-blank line is a row, its cells separated by plain commas. Columns are
 known by place (c0, c1, …), as names may repeat.
 
-Faults are collected before anything is computed and the first is raised on the
-driver with its message: all cells of all files are parsed before any is
-converted, so a fault of parsing comes before one of conversion.
+Files are scanned line by line, in as many tasks as they have splits. Their first
+two lines tell header and emptiness; one aggregation, of a row for each task, then
+finds the first faults and how many lines each task has, from which lines get their
+numbers without a sort. Faults are raised on the driver with their message before
+anything is computed: all cells of all files are parsed before any is converted, so
+a fault of parsing comes before one of conversion.
 """
 
 from __future__ import annotations
@@ -44,71 +47,112 @@ class Frame:
         return self.df.select(*keys, F.explode(cells).alias("c")).select(*keys, "c.*")
 
 
+_TASK = 33  # a number of monotonically_increasing_id has the task above this bit, the place in it below
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines of a file as one array; a file with its header is read whole."""
-    text = spark.read.text(path, wholetext=True)
-    return text.select(F.filter(F.split("value", r"\R"), lambda x: measures.strip(x) != "").alias("lines"))
+    """line and at of the non-blank lines of a file. The splits of one file are scanned in its order, so at grows with the lines."""
+    return spark.read.text(path).filter(measures.strip(F.col("value")) != "").select(F.col("value").alias("line"), F.monotonically_increasing_id().alias("at"))
 
 
-def _first_line(lines: DataFrame) -> str | None:
-    row = lines.select(F.try_element_at("lines", F.lit(1)).alias("head")).first()
-    return row["head"] if row else None
+def header_names(line: str) -> list[str]:
+    """The names of a header, by the rules of CSV, in lower case and without outer blanks."""
+    return [n.strip().lower() for n in next(csv.reader([line.strip()]), [])]
 
 
 def header(line: str, registry: Registry) -> tuple[Ingredient, ...]:
-    names = next(csv.reader([line.strip()]))
-    return tuple(registry.get(n) for n in names)
+    return tuple(registry.get(n) for n in header_names(line))
+
+
+def cells(line: Column) -> Column:
+    """The cells of a row, separated by plain commas, quoted or not."""
+    return F.split(line, ",")
+
+
+def measure_of(cell: Column) -> Column:
+    return measures.parse(measures.strip(cell))
+
+
+def arity_fault(n: Column, expected: int | Column, line_nr: Column) -> Column:
+    """The message of a row with another number of cells than its header, else null."""
+    e = F.lit(expected) if isinstance(expected, int) else expected
+    return F.when(n != e, F.concat(F.lit("The row on line "), line_nr.cast("string"), F.lit(" has "), n.cast("string"), F.lit(" columns where "), e.cast("string"), F.lit(" were expected")))
 
 
-def _fault(m: Column, place: int, line: Column) -> Column:
-    """The message of a parsed cell that is no measure, else null."""
-    at = F.concat(F.lit(" at line "), line.cast("string"), F.lit(f", column {place}"))
-    return F.when(~m["matched"], F.concat(F.lit("Incorrect format of measurement"), at)).when(~measures.unit_known(m["key"]), F.concat(F.lit("No unit named '"), m["unit"], F.lit("'"), at))
+def _fault(m: Column, place: int) -> Column:
+    """What is wrong with a parsed cell that is no measure, else null; @ stands for its line."""
+    at = f" at line @, column {place}"
+    return F.when(~m["matched"], F.lit("Incorrect format of measurement" + at)).when(~measures.unit_known(m["key"]), F.concat(F.lit("No unit named '"), m["unit"], F.lit("'" + at)))
 
 
 def read(spark: SparkSession, registry: Registry, paths: Sequence[str]) -> Frame:
-    """All rows of files with the same header, in grams, with file_idx and line_nr."""
+    """All rows of files with the same header, in grams, with file_idx and line_nr (among the non-blank lines of the file)."""
     parts, known = [], None
     for idx, path in enumerate(paths):
         lines = _lines(spark, path)
-        head = _first_line(lines)
-        if head is None:
+        top = lines.take(2)
+        if not top:
             continue
-        ingredients = header(head, registry)
-        rows = lines.select(F.lit(idx).alias("file_idx"), F.posexplode(F.slice("lines", 2, F.size("lines"))).alias("at", "line"))
+        ingredients = header(top[0]["line"], registry)
+        empty = len(top) == 1
         if known is not None and [i.food_id for i in known] != [i.food_id for i in ingredients]:
-            if parts or not lines.filter(F.size("lines") > 1).isEmpty():
+            if parts or not empty:
                 raise InvalidInput("All input files must have the same header.")
         known = known if parts else ingredients
-        if not parts and lines.filter(F.size("lines") > 1).isEmpty() and idx + 1 < len(paths):
+        if not parts and empty and idx + 1 < len(paths):
             continue  # a header without rows doesn't bind the files after it
-        parts.append(rows)
+        parts.append((idx, lines, top[0]["at"]))
     if known is None:
         raise InvalidInput("No data")
-    rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "file_idx int, at int, line string")
+    frames, before, faults, unfit = [], 0, [], []
+    for idx, lines, head in parts:
+        wide = _measured(lines, known).withColumn("file_idx", F.lit(idx))
+        first, counts = _survey(wide.filter(F.col("at") != head), lines)
+        starts = _starts(counts)
+        number = lambda at, starts=starts: starts[at >> _TASK] + (at & ((1 << _TASK) - 1))
+        if first["fault"]:
+            faults.append(first["fault"]["text"].replace("@", str(number(first["fault"]["at"])), 1))
+        if first["unfit"]:
+            unfit.append((before + number(first["unfit"]["at"]), first["unfit"]["j"], first["unfit"]["u"]))
+        before += sum(counts.values()) - 1
+        start = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.shiftright("at", _TASK))
+        line_nr = (start + F.col("at").bitwiseAND(F.lit((1 << _TASK) - 1))).cast("bigint")
+        frames.append(wide.filter(F.col("at") != head).select("file_idx", line_nr.alias("line_nr"), *[f"c{j}" for j in range(len(known))]))
+    if faults:
+        raise InvalidInput(faults[0])
+    if unfit:
+        line, j, unit = unfit[0]
+        shown = unit.lower() if unit in ("STICK", "CUBE", "KNOB") else unit
+        raise BadUnit(f"Inapplicable unit '{shown}' used for ingredient '{known[j].name}' at line {line}")
+    return Frame(reduce(DataFrame.unionByName, frames), known)
+
+
+def _measured(lines: DataFrame, known: tuple[Ingredient, ...]) -> DataFrame:
+    """at, grams by column, and what is wrong with a row: fault (of parsing), unfit (the first unit without a weight)."""
     k = len(known)
-    cells = F.split("line", ",")
-    wide = rows.select("file_idx", (F.col("at") + 2).alias("line_nr"), cells.alias("cells"))
-    wide = wide.select("file_idx", "line_nr", F.size("cells").alias("n"), *[measures.parse(measures.strip(F.try_element_at("cells", F.lit(j + 1)))).alias(f"m{j}") for j in range(k)])
+    wide = lines.select("at", cells(F.col("line")).alias("cells"))
+    wide = wide.select("at", F.size("cells").alias("n"), *[measure_of(F.try_element_at("cells", F.lit(j + 1))).alias(f"m{j}") for j in range(k)])
     # Of a row, an arity fault hides those of its cells.
-    arity = F.when(F.col("n") != k, F.concat(F.lit("The row on line "), F.col("line_nr").cast("string"), F.lit(" has "), F.col("n").cast("string"), F.lit(f" columns where {k} were expected")))
-    faults = F.coalesce(arity, *[_fault(F.col(f"m{j}"), j, F.col("line_nr")) for j in range(k)])
-    first = wide.withColumn("fault", faults).filter("fault IS NOT NULL").agg(F.min_by("fault", F.struct("file_idx", "line_nr")).alias("fault")).first()
-    if first["fault"] is not None:
-        raise InvalidInput(first["fault"])
+    fault = F.coalesce(arity_fault(F.col("n"), k, F.lit("@")), *[_fault(F.col(f"m{j}"), j) for j in range(k)])
     grams = [measures.to_grams(F.col(f"m{j}.value"), F.col(f"m{j}.key"), i.density, i.pieces).alias(f"c{j}") for j, i in enumerate(known)]
-    frame = wide.select("file_idx", "line_nr", *grams, *[F.col(f"m{j}.key").alias(f"u{j}") for j in range(k)])
-    _check_units(frame, known)
-    return Frame(frame.drop(*[f"u{j}" for j in range(k)]), known)
-
-
-def _check_units(frame: DataFrame, known: tuple[Ingredient, ...]) -> None:
-    """Raises for the first unit without a weight; its line runs on over the files, as in one table."""
-    bad = F.coalesce(*[F.when(F.col(f"c{j}").isNull(), F.struct(F.lit(j).alias("j"), F.upper(measures.size(F.col(f"u{j}"))).alias("u"))) for j in range(len(known))])
-    first = frame.withColumn("bad", bad).filter("bad IS NOT NULL").agg(F.min_by(F.struct("file_idx", "line_nr", "bad"), F.struct("file_idx", "line_nr")).alias("f")).first()["f"]
-    if first is None:
-        return
-    before = frame.filter(F.col("file_idx") < first["file_idx"]).count()
-    j, unit = first["bad"]["j"], first["bad"]["u"]
-    shown = unit.lower() if unit in ("STICK", "CUBE", "KNOB") else unit
-    raise BadUnit(f"Inapplicable unit '{shown}' used for ingredient '{known[j].name}' at line {before + first['line_nr']}")
+    wide = wide.select("at", fault.alias("fault"), *grams, *[F.col(f"m{j}.key").alias(f"u{j}") for j in range(k)])
+    unfit = F.coalesce(*[F.when(F.col(f"c{j}").isNull(), F.struct(F.lit(j).alias("j"), F.upper(measures.size(F.col(f"u{j}"))).alias("u"))) for j in range(k)])
+    return wide.withColumn("unfit", unfit)
+
+
+def _survey(rows: DataFrame, lines: DataFrame) -> tuple[dict, dict[int, int]]:
+    """The first fault of parsing and the first of conversion among rows, and the number of lines of each task: one pass each."""
+    first = rows.agg(
+        F.min_by(F.struct("at", F.col("fault").alias("text")), F.when(F.col("fault").isNotNull(), F.col("at"))).alias("fault"),
+        F.min_by(F.struct("at", "unfit.j", "unfit.u"), F.when(F.col("unfit").isNotNull(), F.col("at"))).alias("unfit"),
+    ).first()
+    counts = lines.groupBy(F.shiftright("at", _TASK).alias("task")).count().collect()
+    return first.asDict(), {r["task"]: r["count"] for r in counts}
+
+
+def _starts(counts: dict[int, int]) -> dict[int, int]:
+    """The number, from 1, of the first line of each task."""
+    starts, n = {}, 1
+    for task in sorted(counts):
+        starts[task], n = n, n + counts[task]
+    return starts

@@ -167,3 +167,26 @@ def test_command_line(spark, write, capsys):
     assert "Overall percentage difference = 0%" in cli.run(spark, cli.parser().parse_args(["diff", path, path]))
     assert cli.main(["stats", write("flour\nx\n", "x.csv")]) == 1
     assert "Error: Incorrect format" in capsys.readouterr().err
+
+
+def test_lines_are_numbered_over_splits(spark, seed_registry, write):
+    """A file of many splits: numbers, faults and order are those of the file."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        body = [f"{k + 1}g,{k % 7 + 1} dl" for k in range(2000)]
+        text = "\n\nflour,milk\n" + "\n\n".join(body) + "\n"
+        a, b = write(text), write("flour,milk\r\n7g,0\r8g,0", "b.csv")
+        f = recipes.read(spark, seed_registry, [a, b])
+        assert f.df.rdd.getNumPartitions() > 4
+        got = [tuple(r) for r in f.df.select("file_idx", "line_nr", "c0").orderBy("file_idx", "line_nr").collect()]
+        assert got == [(0, k + 2, k + 1.0) for k in range(2000)] + [(1, 2, 7.0), (1, 3, 8.0)]
+        body[1500], body[1800] = "1g,1 foo", "1g"
+        with pytest.raises(InvalidInput, match="No unit named 'foo' at line 1502, column 1"):
+            recipes.read(spark, seed_registry, [b, write("flour,milk\n" + "\n".join(body), "c.csv")])
+        body[1500], body[1800] = "1g,1 large", "1g,2g"
+        with pytest.raises(BadUnit, match="Inapplicable unit 'LARGE' used for ingredient 'milk' at line 1504"):
+            recipes.read(spark, seed_registry, [b, write("flour,milk\n" + "\n".join(body), "c.csv")])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
