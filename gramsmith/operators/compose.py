@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gramsmith.errors import InvalidInput, InvalidMerge
+from gramsmith.session import written
 from gramsmith.sources.recipes import Frame
 from gramsmith.sources.registry import Ingredient
 
@@ -103,28 +104,28 @@ def zero_places(ingredients: Sequence[Ingredient], ids: Sequence[ColumnId]) -> s
     return {k for i in ids for k in places(ingredients, i)}
 
 
-def means_without_zeros(frame: Frame, flagged: set[int]) -> list[float]:
-    """Means of normalised columns, exact zeros of flagged ones left out; one row comes to the driver."""
-    rows = normalize(frame).df
-    got = rows.agg(*[F.avg(F.when(F.col(c) != 0, F.col(c)) if k in flagged else F.col(c)).alias(c) for k, c in enumerate(frame.columns)]).first()
-    if any(got[c] is None for c in frame.columns):
+def means_without_zeros(rows: Frame, flagged: set[int]) -> list[float]:
+    """Means of normalised rows by column, exact zeros of flagged ones left out; one row comes to the driver."""
+    got = rows.df.agg(*[F.avg(F.when(F.col(c) != 0, F.col(c)) if k in flagged else F.col(c)).alias(c) for k, c in enumerate(rows.columns)]).first()
+    if any(got[c] is None for c in rows.columns):
         raise InvalidInput("A column whose zeros are to be ignored holds nothing else")
-    return [got[c] for c in frame.columns]
+    return [got[c] for c in rows.columns]
 
 
 def impute_zeros(frame: Frame, ids: Sequence[ColumnId]) -> Frame:
     """Zeros of flagged columns become the share that the column has where it isn't 0.
 
     With shares p of the means, a zero becomes 100 p and every other cell shrinks by
-    (1 − p) for each zero of the row. The means are one small job; they enter the
-    plan as literals.
+    (1 − p) for each zero of the row. The normalised rows are computed once and
+    written, as they are read twice; the means enter the plan as literals.
     """
     flagged = zero_places(frame.ingredients, ids)
     if not flagged:
         return frame
-    means = means_without_zeros(frame, flagged)
-    share = [m / sum(means) for m in means]
     rows = normalize(frame)
+    rows = rows.with_df(written(rows.df))
+    means = means_without_zeros(rows, flagged)
+    share = [m / sum(means) for m in means]
     shrink = reduce(lambda a, b: a * b, [F.when(F.col(f"c{k}") == 0, F.lit(1 - share[k])).otherwise(F.lit(1.0)) for k in sorted(flagged)])
     kept = [c for c in rows.df.columns if c not in rows.columns]
     out = [(F.when(F.col(c) == 0, F.lit(100 * share[k])).otherwise(F.col(c) * shrink) if k in flagged else F.col(c) * shrink).alias(c) for k, c in enumerate(rows.columns)]
@@ -143,7 +144,3 @@ def parse_restrictions(text: str | None) -> list[tuple[ColumnId, float]]:
         if not sep:
             raise InvalidInput("Expected column option")
     return out
-
-
-def as_mapping(pairs: Sequence[tuple[ColumnId, float]]) -> Mapping[ColumnId, float]:
-    return dict(pairs)

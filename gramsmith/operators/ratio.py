@@ -82,7 +82,11 @@ def percentage_change(a: Column, b: Column) -> Column:
 def compared(left: DataFrame, right: DataFrame) -> DataFrame:
     """col_idx, ingredient, a, b, difference, change of two frames col_idx, ingredient, percentage."""
     r = right.select("col_idx", F.col("percentage").alias("b"))
-    both = left.select("col_idx", "ingredient", F.col("percentage").alias("a")).join(r, "col_idx")
+    return against(left.select("col_idx", "ingredient", F.col("percentage").alias("a")).join(r, "col_idx"))
+
+
+def against(both: DataFrame) -> DataFrame:
+    """Adds difference and change to rows with both percentages, a and b."""
     return both.withColumn("difference", percentage_difference(F.col("a"), F.col("b"))).withColumn("change", percentage_change(F.col("a"), F.col("b")))
 
 

@@ -8,13 +8,17 @@ catalog's over curated_recipes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramsmith.functions import measures
 from gramsmith.operators import catalog, compose, ratio, stats
 from gramsmith.session import broadcast_if_small, spread, table
-from gramsmith.sources import registry
+from gramsmith.plans import report
+from gramsmith.sources import recipes, registry
 from gramsmith.sources.recipes import Frame
 from gramsmith.sources.registry import Ingredient
 
@@ -160,8 +164,17 @@ def as_percentages(spark: SparkSession, d: str) -> DataFrame:
     return ratio.as_percentages(_ratio(spark, d)).select("col_idx", _r("percentage").alias("percentage"))
 
 
+def _collected(spark: SparkSession, d: str) -> ratio.Ratio:
+    """The ratio on the driver, where reports are made: a number for each column."""
+    parts = {r["col_idx"]: r["value"] for r in _ratio(spark, d).collect()}
+    return ratio.Ratio(INGREDIENTS, [parts[k] for k in range(len(INGREDIENTS))])
+
+
 def ingredient_values(spark: SparkSession, d: str) -> DataFrame:
-    return _ratio(spark, d).filter(F.col("ingredient").isin("promo", "small")).select("ingredient", _r(F.col("value") * 250).alias("grams"))
+    """Columns by name and by place."""
+    r = _collected(spark, d)
+    rows = [(i.name, round(v, 6)) for column in ("promo", 5) for v, i in r.of(column, 250)]
+    return spark.createDataFrame(rows, "ingredient string, grams double")
 
 
 def grams_to_ml_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -170,8 +183,10 @@ def grams_to_ml_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, d: str) -> DataFrame:
-    s = stats.proportions(_stats(spark, d, "l_linestatus"), "l_linestatus").select("l_linestatus", "col_idx", "ingredient", F.col("proportion").alias("percentage"))
-    return ratio.compared(s.filter("l_linestatus = 'F'").drop("l_linestatus"), s.filter("l_linestatus = 'O'").drop("l_linestatus"))
+    """Both data sets in one pass, one against the other by column."""
+    s = stats.proportions(_stats(spark, d, "l_linestatus"), "l_linestatus")
+    share = lambda status: F.max(F.when(F.col("l_linestatus") == status, F.col("proportion")))
+    return ratio.against(s.groupBy("col_idx", "ingredient").agg(share("F").alias("a"), share("O").alias("b")))
 
 
 def ratio_diff(spark: SparkSession, d: str) -> DataFrame:
@@ -187,17 +202,38 @@ def diff_ranked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def format_ratio(spark: SparkSession, d: str) -> DataFrame:
-    """The ratio as one text of hundredths."""
-    parts = F.sort_array(F.collect_list(F.struct("col_idx", F.floor(F.col("value") * 100 + 0.5).cast("bigint").cast("string").alias("t"), "ingredient")))
-    join = lambda f: F.array_join(F.transform("x", lambda p: p[f]), ":")
-    return _ratio(spark, d).agg(parts.alias("x")).select(F.concat(join("t"), F.lit(" ("), join("ingredient"), F.lit(")")).alias("ratio_text"))
+    return spark.createDataFrame([(report.ratio_text(_collected(spark, d)),)], "ratio_text string")
+
+
+def recipe_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of a recipe of 500 g."""
+    return spark.createDataFrame([(x,) for x in report.recipe_text(_collected(spark, d), 500, 1)[1].splitlines()], "line string")
+
+
+def _statistics(rows: list) -> stats.Statistics:
+    rows = sorted(rows, key=lambda r: r["col_idx"])
+    return stats.Statistics(INGREDIENTS, rows[0]["n"], [r["mean"] for r in rows], [r["std"] for r in rows], [r["ci_half"] for r in rows])
+
+
+def interval_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of a verbose report on intervals and sample sizes."""
+    r = report.stats_report(_statistics(_stats(spark, d).collect()), verbose=True, digits=3)
+    return spark.createDataFrame([(x,) for x in r.lines if x.startswith(("The ", "Minimum sample size for"))], "line string")
+
+
+def diff_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of a report on two data sets, in both forms."""
+    rows = _stats(spark, d, "l_linestatus").collect()
+    f, o = (_statistics([r for r in rows if r["l_linestatus"] == s]) for s in "FO")
+    lines = [x for change in (False, True) for x in report.diff_report(f, o, change, 3).lines if x.startswith(("The ", "Percentage", "Overall"))]
+    return spark.createDataFrame([(x,) for x in lines], "line string").distinct()
 
 
 def union_files(spark: SparkSession, d: str) -> DataFrame:
     cells = ["flour", "butter"]
     a = table(spark, d, "crumble").select("recipe_id", *cells, F.lit(0).alias("file_idx"))
     b = table(spark, d, "swedish_recipe_pannkisar").select("recipe_id", *cells, F.lit(1).alias("file_idx"))
-    u = a.unionByName(b).select("file_idx", "recipe_id", measures.parse(measures.strip(F.coalesce("butter", F.lit("")))).alias("p"))
+    u = a.unionByName(b).select("file_idx", "recipe_id", recipes.measure_of(F.coalesce("butter", F.lit(""))).alias("p"))
     return u.filter("p.matched").select("file_idx", "recipe_id", F.col("p.value").alias("value"), F.col("p.key").alias("unit"))
 
 
@@ -328,15 +364,22 @@ def _headers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def header_columns(spark: SparkSession, d: str) -> DataFrame:
-    """Ingredients of each file's header by place, names folded, quotes off."""
-    return _headers(spark, d).select("file_name", F.posexplode(F.split("head", ",")).alias("col_idx", "name")).select("file_name", "col_idx", F.lower(measures.strip(F.regexp_replace("name", '"', ""))).alias("ingredient"))
+    """Ingredients of each file's header by place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(f, k, n) for f, line in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if line is not None for k, n in enumerate(recipes.header_names(line))]
+            yield pa.RecordBatch.from_pylist([dict(zip(("file_name", "col_idx", "ingredient"), r, strict=True)) for r in rows], schema=pa.schema([("file_name", pa.string()), ("col_idx", pa.int32()), ("ingredient", pa.string())]))
+
+    return _headers(spark, d).select("file_name", "head").mapInArrow(run, "file_name string, col_idx int, ingredient string")
 
 
 def arity_faults(spark: SparkSession, d: str) -> DataFrame:
-    """Lines whose plain commas give another number of cells than the header's."""
-    heads = _headers(spark, d).select("file_name", F.size(F.split("head", ",")).alias("expected"))
+    """Lines whose plain commas give another number of cells than the header's, with the message."""
+    heads = _headers(spark, d).select("file_name", F.size(recipes.cells(F.col("head"))).alias("expected"))
     rows = table(spark, d, "measure_lines").filter("line_nr > 1").filter(measures.strip(F.col("raw_line")) != "")
-    return rows.join(heads, "file_name").select("line_id", F.size(F.split("raw_line", ",")).alias("n"), "expected").filter("n <> expected")
+    message = recipes.arity_fault(F.size(recipes.cells(F.col("raw_line"))), F.col("expected"), F.col("line_nr"))
+    return rows.join(heads, "file_name").select("line_id", message.alias("message")).filter("message IS NOT NULL")
 
 
 def row_sums(spark: SparkSession, d: str) -> DataFrame:
@@ -345,7 +388,8 @@ def row_sums(spark: SparkSession, d: str) -> DataFrame:
 
 
 def interval_percent_of_mean(spark: SparkSession, d: str) -> DataFrame:
-    return _stats(spark, d).select("col_idx", _r(F.col("ci_half") / F.col("mean") * 100).alias("percent"))
+    rows = [(r["col_idx"], round(report.interval_percent(r["mean"], r["ci_half"]), 6)) for r in _stats(spark, d).collect()]
+    return spark.createDataFrame(rows, "col_idx int, percent double")
 
 
 def total_weight(spark: SparkSession, d: str) -> DataFrame:
@@ -354,9 +398,8 @@ def total_weight(spark: SparkSession, d: str) -> DataFrame:
 
 def restriction_ceiling(spark: SparkSession, d: str) -> DataFrame:
     """The scale that the tightest of two limits allows."""
-    limits = spark.createDataFrame([("standard", 60.0), ("promo", 90.0)], "ingredient string, most double")
-    by = _ratio(spark, d).join(broadcast_if_small(limits), "ingredient").groupBy("ingredient").agg((F.first("most") / F.sum("value")).alias("scale"))
-    return by.agg(_r(F.min("scale")).alias("scale"))
+    r = _collected(spark, d).restricted(compose.parse_restrictions("standard=60,3=90"))
+    return spark.createDataFrame([(round(r.scale(float("inf")), 6),)], "scale double")
 
 
 def measured_densities(spark: SparkSession, d: str) -> DataFrame:
@@ -388,7 +431,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         parse_measures, unit_to_grams, whole_unit_lookup, normalize_100, wide_pivot, to_long, distinct_compositions, merge_full, merge_partial, column_stats, ci_bounds, min_sample_size, sample_size, bakers_percentage, proportions,
-        stats_by_status, zero_filtered_means, zero_imputed_stats, recipe_scaled, recipe_restricted, as_percentages, ingredient_values, grams_to_ml_pieces, ratio_diff, overall_diff, diff_ranked, format_ratio, union_files, table_counts,
+        stats_by_status, zero_filtered_means, zero_imputed_stats, recipe_scaled, recipe_restricted, as_percentages, ingredient_values, grams_to_ml_pieces, ratio_diff, overall_diff, diff_ranked, format_ratio, recipe_lines, interval_lines, diff_lines, union_files, table_counts,
         density_pick, density_alternatives, density_derived, food_ids, portion_filter, portion_per_unit, portion_pieces, default_piece, synonym_lookup, left_density_lookup, unmatched_aliases, registry_portions, registry_densities, first_writer_synonym, suggest_names,
         short_names, upsert_measured, catalog_rows, catalog_violations, catalog_json, header_columns, arity_faults, row_sums, interval_percent_of_mean, total_weight, restriction_ceiling, measured_densities, portions_of_foods,
         portions_without_food, density_or_default,

@@ -98,7 +98,19 @@ ORACLES = {
     "ratio_diff": _w(_D, "SELECT col_idx, ingredient, round(difference, 6) AS difference, round(change, 6) AS change FROM x"),
     "overall_diff": _w(_D, "SELECT round(avg(difference), 6) AS overall FROM x"),
     "diff_ranked": _w(_D, "SELECT col_idx, row_number() OVER (ORDER BY difference DESC, col_idx) AS diff_rank, row_number() OVER (ORDER BY abs(change) DESC, col_idx) AS change_rank FROM x"),
-    "format_ratio": _w(_R, "SELECT string_agg(CAST(CAST(floor(value * 100 + 0.5) AS BIGINT) AS VARCHAR), ':' ORDER BY col_idx) || ' (' || string_agg(ingredient, ':' ORDER BY col_idx) || ')' AS ratio_text FROM r"),
+    "format_ratio": _w(_R, "SELECT string_agg(format('{:.2f}', value), ':' ORDER BY col_idx) || ' (' || string_agg(ingredient, ':' ORDER BY col_idx) || ')' AS ratio_text FROM r"),
+    "recipe_lines": _w(_R, "SELECT format('{:.1f}g, {:.1f}ml or {:.1f} {}(s) where each {} is 44.0g', g, g, g / 44.0::DOUBLE, ingredient, ingredient) AS line FROM (SELECT ingredient, value * (500.0::DOUBLE / sum(value) OVER ()) AS g FROM r)"),
+    "interval_lines": _w(
+        _A,
+        f"""SELECT format('The {{}} proportion is between {{:.3f}}% and {{:.3f}}% (the interval is {{:.0f}}% of the mean proportion: {{:.3f}}%)', ingredient, p - ci_half, p + ci_half, abs(ci_half / p) * 100, p) AS line FROM (SELECT *, mean * 100 / sum(mean) OVER () AS p FROM a)
+UNION ALL SELECT format('Minimum sample size for {{}} proportion: {{}}', ingredient, {_MIN}) FROM a""",
+    ),
+    "diff_lines": _w(
+        _D,
+        """SELECT format('Percentage difference between {} proportions {:.3f}%', ingredient, difference * 100) AS line FROM x
+UNION ALL SELECT format('The {} proportion has {} by {:.3f}% from data set 1 to 2', ingredient, CASE WHEN change < 0 THEN 'decreased' ELSE 'increased' END, abs(change) * 100) FROM x
+UNION ALL SELECT format('Overall percentage difference = {:.3f}%', avg(difference) * 100) FROM x""",
+    ),
     "union_files": r"""
 WITH u AS (SELECT 0 AS file_idx, recipe_id, regexp_replace(coalesce(butter, ''), '^\s+|\s+$', '', 'g') AS c FROM crumble UNION ALL SELECT 1, recipe_id, regexp_replace(coalesce(butter, ''), '^\s+|\s+$', '', 'g') FROM swedish_recipe_pannkisar),
 v AS (SELECT *, regexp_extract(c, '^(?:([0-9]+|[0-9]*\.[0-9]+) *([a-zA-Z][a-zA-Z ]*)|(0))', 1) AS v, regexp_extract(c, '^(?:([0-9]+|[0-9]*\.[0-9]+) *([a-zA-Z][a-zA-Z ]*)|(0))', 2) AS w FROM u WHERE regexp_matches(c, '^(?:([0-9]+|[0-9]*\.[0-9]+) *([a-zA-Z][a-zA-Z ]*)|(0))'))
@@ -144,7 +156,7 @@ u AS (SELECT file_name, unnest(string_split(head, ',')) AS name, generate_subscr
 SELECT file_name, CAST(col_idx AS INT) AS col_idx, lower({_STRIP.format("replace(name, '" + chr(34) + "', '')")}) AS ingredient FROM u""",
     "arity_faults": f"""
 WITH h AS (SELECT file_name, len(string_split(min_by(raw_line, line_id), ',')) AS expected FROM measure_lines WHERE line_nr = 1 GROUP BY 1)
-SELECT line_id, len(string_split(raw_line, ',')) AS n, expected FROM measure_lines JOIN h USING (file_name) WHERE line_nr > 1 AND {_STRIP.format("raw_line")} <> '' AND len(string_split(raw_line, ',')) <> expected""",
+SELECT line_id, 'The row on line ' || line_nr || ' has ' || len(string_split(raw_line, ',')) || ' columns where ' || expected || ' were expected' AS message FROM measure_lines JOIN h USING (file_name) WHERE line_nr > 1 AND {_STRIP.format("raw_line")} <> '' AND len(string_split(raw_line, ',')) <> expected""",
     "row_sums": _w(_F, f"SELECT l_orderkey, round({_SUM}, 6) AS total FROM f"),
     "interval_percent_of_mean": _w(_A, "SELECT col_idx, round(ci_half / mean * 100, 6) AS percent FROM a"),
     "total_weight": _w(_R, "SELECT round(sum(value) * 120, 6) AS total FROM r"),

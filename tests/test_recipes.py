@@ -150,7 +150,7 @@ def test_diff_report(seed_registry):
     i = tuple(seed_registry.get(n) for n in ("flour", "milk"))
     make = lambda *m: stats.Statistics(i, 5, list(m), [1.0, 1.0], [0.1, 0.1])
     d = report.diff_report(make(50.0, 50.0), make(25.0, 75.0), digits=1)
-    assert d.percentage_differences[0][0] == pytest.approx(2 / 3) and d.percentage_changes[0][0] == pytest.approx(-0.5)
+    assert d.columns[0].difference == pytest.approx(2 / 3) and d.columns[0].change == pytest.approx(-0.5)
     assert "Percentage difference between flour proportions 66.7%" in str(d)
     assert "The milk proportion has increased by 50% from data set 1 to 2" in str(report.diff_report(make(50.0, 50.0), make(25.0, 75.0), change=True))
     other = stats.Statistics(tuple(seed_registry.get(n) for n in ("flour", "egg")), 5, [50.0, 50.0], [1.0, 1.0], [0.1, 0.1])
