@@ -408,12 +408,16 @@ def fingerprints(segs: DataFrame) -> DataFrame:
     return long.mapInArrow(run, "seg bigint, sim bigint, kind int, words string, size int, prefix array<bigint>")
 
 
-def _tables(df: DataFrame) -> DataFrame:
-    """A row for each two parts of the SimHash."""
+#: Keys of SimHash tables are below it; those of shingles are hashes of 64 bits.
+_TABLE_KEYS = 1 << 31
+
+
+def _candidates(df: DataFrame) -> DataFrame:
+    """A row for each two parts of the SimHash and for each shingle of the prefix."""
     part = lambda p: F.shiftrightunsigned("sim", p[0]).bitwiseAND(F.lit((1 << p[1]) - 1))
     pairs = [(i, j) for i in range(len(PARTS)) for j in range(i)]
     keys = F.array(*[part(PARTS[i]) * F.lit(1 << 17) + part(PARTS[j]) * F.lit(16) + F.lit(k) for k, (i, j) in enumerate(pairs)])
-    return df.select("seg", "sim", F.explode(keys).alias("key"))
+    return df.select("seg", "sim", "size", F.explode(F.concat(keys, "prefix")).alias("key"))
 
 
 def shingles(words: Column) -> Column:
@@ -422,10 +426,6 @@ def shingles(words: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(ws) - SHINGLE), lambda k: F.concat_ws(" ", F.slice(ws, k + 1, SHINGLE))))
 
 
-def _prefixes(df: DataFrame) -> DataFrame:
-    return df.select("seg", "size", F.explode("prefix").alias("key"))
-
-
 def _alike_in_size(a: Column, b: Column) -> Column:
     return (a * 5 >= b * 4) & (b * 5 >= a * 4)
 
@@ -433,10 +433,10 @@ def _alike_in_size(a: Column, b: Column) -> Column:
 def _near(frontier: DataFrame, open_: DataFrame) -> DataFrame:
     """Open segments (seg) near one of the frontier."""
     ends = F.col("a.seg").alias("from_seg"), F.col("b.seg").alias("to_seg")
-    near = broadcast_if_small(_tables(frontier)).alias("a").join(_tables(open_).alias("b"), "key")
-    near = near.filter(F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= HAMMING).select(*ends)
-    like = broadcast_if_small(_prefixes(frontier)).alias("a").join(_prefixes(open_).alias("b"), "key")
-    near = near.unionByName(like.filter(_alike_in_size(F.col("a.size"), F.col("b.size"))).select(*ends)).distinct()
+    met = broadcast_if_small(_candidates(frontier)).alias("a").join(_candidates(open_).alias("b"), "key")
+    in_table = F.col("key").between(0, _TABLE_KEYS - 1)
+    near = F.bit_count(F.col("a.sim").bitwiseXOR(F.col("b.sim"))) <= HAMMING
+    near = met.filter(F.when(in_table, near).otherwise(_alike_in_size(F.col("a.size"), F.col("b.size")))).select(*ends).distinct()
     a = frontier.select(F.col("seg").alias("from_seg"), F.col("words").alias("from_words"))
     b = open_.select(F.col("seg").alias("to_seg"), F.col("words").alias("to_words"))
     pairs = dealt(near, "from_seg", "to_seg").join(a, "from_seg").join(b, "to_seg").select("to_seg", shingles(F.col("from_words")).alias("x"), shingles(F.col("to_words")).alias("y"))
@@ -468,6 +468,8 @@ def spread_labels(segs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     labelled = segs.filter(F.col("kind") == WHOLE).select("seg")
     if rows is not None:
         labelled = cut(rows.filter(F.col("kind") == WHOLE).select("seg").distinct())
+    if rows is not None:
+        rows = rows.select("page", "n", "kind", "seg")
     frontier, open_ = long.filter(F.col("kind") == WHOLE), long.filter(F.col("kind") == NONE)
     reached = [labelled]
     while True:
@@ -479,7 +481,7 @@ def spread_labels(segs: DataFrame, rows: DataFrame | None = None) -> DataFrame:
             return _union(reached)
         reached.append(new)
         new = broadcast_if_small(new)
-        frontier = open_.join(new, "seg", "left_semi")
+        frontier = cut(open_.join(new, "seg", "left_semi"))
         open_ = open_.join(new, "seg", "left_anti")
 
 
@@ -498,6 +500,6 @@ def residue(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     seg = F.xxhash64(F.col("kind") == WITHIN, "words")
     rows = written(cut_segments(docs, doc_id, text).withColumn("seg", seg))
     segs = rows.filter(F.col("kind") != WITHIN).groupBy("seg", "words").agg(F.max("kind").alias("kind"))
-    whole = spread_labels(written(fingerprints(dealt(segs, "seg"))), rows.select("page", "n", "kind", "seg"))
+    whole = spread_labels(written(fingerprints(dealt(segs, "seg"))), rows)
     within = rows.filter(F.col("kind") == WITHIN).select("doc_id")
     return rows.join(broadcast_if_small(whole), "seg", "left_semi").select("doc_id").unionByName(within).distinct()
