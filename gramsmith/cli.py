@@ -1,16 +1,18 @@
-"""python -m gramsmith.cli stats|diff FILE...: reports over files of measures."""
+"""python -m gramsmith.cli stats|diff FILE...: reports over files of measures; catalog FOLDER OUTPUT: the catalog document."""
 
 from __future__ import annotations
 
 import argparse
+import json
 import sys
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from gramsmith.errors import CompositionError
-from gramsmith.operators import compose, stats
+from gramsmith.operators import catalog, compose, stats
 from gramsmith.plans import report
-from gramsmith.sources import recipes
+from gramsmith.sources import recipes, seed
 from gramsmith.sources.registry import Registry, Tables
 
 
@@ -20,6 +22,10 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     s = sub.add_parser("stats", help="ratio, intervals and an example recipe")
     d = sub.add_parser("diff", help="the first file against the others together")
+    c = sub.add_parser("catalog", help="the catalog of configured recipes as JSON")
+    c.add_argument("folder", help="where the configured files are")
+    c.add_argument("output")
+    c.add_argument("--config", help="JSON: a list of id, title, category, description, csv_files and sources; the embedded one if it isn't given")
     for x in (s, d):
         x.add_argument("files", nargs="+")
         x.add_argument("-i", "--include", action="store_true", help="keep duplicates")
@@ -36,8 +42,20 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def default_catalog() -> list[dict]:
+    return [
+        {"id": i, "title": title, "category": "crepes", "description": text, "csv_files": [name], "sources": [{"type": "text", "title": source, "ref": ref}]}
+        for i, title, text, name, source, ref in seed.CATALOG
+    ]
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> str:
     registry = Registry.of(Tables.read(spark, args.registry)) if args.registry else Registry.seed(spark)
+    if args.command == "catalog":
+        config = json.loads(Path(args.config).read_text(encoding="utf-8")) if args.config else default_catalog()
+        made = catalog.build_catalog(spark, registry, config, args.folder)
+        catalog.write_catalog(spark, made, args.output)
+        return f"Wrote {len(made)} recipes to {args.output}"
     merge = compose.parse_merge(args.merge)
     of = lambda files, zeros=(): stats.statistics(recipes.read(spark, registry, files), not args.include, merge, zeros)
     if args.command == "diff":

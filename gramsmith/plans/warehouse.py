@@ -347,6 +347,16 @@ def catalog_rows(spark: SparkSession, d: str) -> DataFrame:
     return catalog.catalog_rows(s.select("col_idx", "ratio", "mean", "std", "ci_half", "min_n"))
 
 
+def catalog_document(spark: SparkSession, d: str) -> DataFrame:
+    """A recipe for each line status, nested, to JSON and back: its ingredients with densities and whole units."""
+    s = stats.bakers_percentage(_stats(spark, d, "l_linestatus"), "col_idx", "l_linestatus")
+    units = spark.createDataFrame([(i.name, 0.9 + k / 8 if k % 2 else None, i.default_piece if k < 3 else None) for k, i in enumerate(INGREDIENTS)], "ingredient string, density double, piece double")
+    docs = catalog.documents(catalog.with_units(catalog.catalog_rows(s), units), "l_linestatus")
+    back = docs.select("l_linestatus", F.from_json(F.to_json(F.struct(*[c for c in docs.columns if c != "l_linestatus"])), catalog.RECIPE_TYPE).alias("r"))
+    flat = back.select("l_linestatus", "r.base_ingredient", "r.sample_size", F.posexplode("r.ingredients").alias("pos", "i"))
+    return flat.select("l_linestatus", "base_ingredient", "sample_size", "pos", *[f"i.{c}" for c in (*catalog.REQUIRED, "min_sample_size", "density_g_per_ml")], F.col("i.whole_unit.grams").alias("whole_unit_grams"))
+
+
 def catalog_violations(spark: SparkSession, d: str) -> DataFrame:
     return catalog.violations(table(spark, d, "curated_recipes"))
 
@@ -433,7 +443,7 @@ QUERIES = {
         parse_measures, unit_to_grams, whole_unit_lookup, normalize_100, wide_pivot, to_long, distinct_compositions, merge_full, merge_partial, column_stats, ci_bounds, min_sample_size, sample_size, bakers_percentage, proportions,
         stats_by_status, zero_filtered_means, zero_imputed_stats, recipe_scaled, recipe_restricted, as_percentages, ingredient_values, grams_to_ml_pieces, ratio_diff, overall_diff, diff_ranked, format_ratio, recipe_lines, interval_lines, diff_lines, union_files, table_counts,
         density_pick, density_alternatives, density_derived, food_ids, portion_filter, portion_per_unit, portion_pieces, default_piece, synonym_lookup, left_density_lookup, unmatched_aliases, registry_portions, registry_densities, first_writer_synonym, suggest_names,
-        short_names, upsert_measured, catalog_rows, catalog_violations, catalog_json, header_columns, arity_faults, row_sums, interval_percent_of_mean, total_weight, restriction_ceiling, measured_densities, portions_of_foods,
+        short_names, upsert_measured, catalog_rows, catalog_document, catalog_violations, catalog_json, header_columns, arity_faults, row_sums, interval_percent_of_mean, total_weight, restriction_ceiling, measured_densities, portions_of_foods,
         portions_without_food, density_or_default,
     )
 }

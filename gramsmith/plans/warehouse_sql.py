@@ -139,17 +139,29 @@ SELECT DISTINCT a.name, s.food_id, p.g_per_ml FROM food a JOIN synonym s ON lowe
     "short_names": "WITH n AS (SELECT DISTINCT s.food_id, lower(s.name) AS n FROM synonym s JOIN food f ON f.id = s.food_id WHERE s.name IS NOT NULL AND lower(s.name) <> lower(f.name)) SELECT food_id, count(*) AS n, CASE WHEN bool_or(n = 'cornstarch') THEN 'cornstarch' ELSE min(n) END AS first_name FROM n GROUP BY food_id",
     "upsert_measured": "WITH f AS (SELECT lower(name) AS k, min(id) AS food_id FROM food GROUP BY 1) SELECT s.id, f.food_id FROM synonym s LEFT JOIN f ON lower(s.name) = f.k WHERE s.name IS NOT NULL AND s.food_id IS NULL",
     "catalog_rows": _w(_R, f"SELECT col_idx, round(value, 4) AS ratio, round(mean / 100, 4) AS proportion, round(std / 100, 4) AS std_deviation, round(greatest(0, mean - ci_half) / 100, 4) AS ci_lower, round((mean + ci_half) / 100, 4) AS ci_upper, {_MIN} AS min_sample_size FROM r"),
+    "catalog_document": _w(
+        _AK,
+        f"""SELECT l_linestatus, 'standard' AS base_ingredient, n AS sample_size, col_idx AS pos, ingredient AS name, round(mean / first_value(mean) OVER (PARTITION BY l_linestatus ORDER BY col_idx), 4) AS ratio, round(mean / 100, 4) AS proportion,
+  round(std / 100, 4) AS std_deviation, round(greatest(0, mean - ci_half) / 100, 4) AS ci_lower, round((mean + ci_half) / 100, 4) AS ci_upper, {_MIN} AS min_sample_size,
+  CASE WHEN col_idx % 2 = 1 THEN round(0.9::DOUBLE + col_idx / 8.0::DOUBLE, 4) END AS density_g_per_ml, CASE WHEN col_idx < 3 THEN 44.0::DOUBLE END AS whole_unit_grams FROM a""",
+    ),
     "catalog_violations": """
 WITH i AS (SELECT record_id, unnest(ingredients) AS x FROM curated_recipes), s AS (SELECT record_id, unnest(sources) AS x FROM curated_recipes)
 SELECT record_id, 'slug' AS rule FROM curated_recipes WHERE NOT coalesce(regexp_full_match(id, '[a-z0-9]+(-[a-z0-9]+)*'), false)
 UNION ALL SELECT record_id, 'title' FROM curated_recipes WHERE title IS NULL
+UNION ALL SELECT record_id, 'category' FROM curated_recipes WHERE category IS NULL
+UNION ALL SELECT record_id, 'base_ingredient' FROM curated_recipes WHERE base_ingredient IS NULL
+UNION ALL SELECT DISTINCT record_id, 'required' FROM i WHERE x IS NULL OR x.name IS NULL OR x.ratio IS NULL OR x.proportion IS NULL OR x.std_deviation IS NULL OR x.ci_lower IS NULL OR x.ci_upper IS NULL
+UNION ALL SELECT DISTINCT record_id, 'std_deviation' FROM i WHERE x.std_deviation < 0
+UNION ALL SELECT DISTINCT record_id, 'min_sample_size' FROM i WHERE x.min_sample_size < 0
+UNION ALL SELECT DISTINCT record_id, 'source_ref' FROM s WHERE x.ref IS NULL
 UNION ALL SELECT record_id, 'sample_size' FROM curated_recipes WHERE NOT coalesce(sample_size >= 1, false)
 UNION ALL SELECT record_id, 'ingredients' FROM curated_recipes WHERE coalesce(len(ingredients), 0) < 1
 UNION ALL SELECT DISTINCT record_id, 'ratio' FROM i WHERE x.ratio < 0
 UNION ALL SELECT DISTINCT record_id, 'proportion' FROM i WHERE x.proportion < 0 OR x.proportion > 1
 UNION ALL SELECT DISTINCT record_id, 'interval' FROM i WHERE x.ci_lower < 0 OR x.ci_upper < 0
-UNION ALL SELECT DISTINCT record_id, 'whole_unit' FROM i WHERE x.whole_unit.grams <= 0
-UNION ALL SELECT DISTINCT record_id, 'source_type' FROM s WHERE x.type NOT IN ('url', 'book', 'text')""",
+UNION ALL SELECT DISTINCT record_id, 'whole_unit' FROM i WHERE x.whole_unit IS NOT NULL AND (x.whole_unit.name IS NULL OR NOT coalesce(x.whole_unit.grams > 0, false))
+UNION ALL SELECT DISTINCT record_id, 'source_type' FROM s WHERE x.type IS NULL OR x.type NOT IN ('url', 'book', 'text')""",
     "header_columns": f"""
 WITH h AS (SELECT file_name, min_by(raw_line, line_id) AS head FROM measure_lines WHERE line_nr = 1 GROUP BY 1),
 u AS (SELECT file_name, unnest(string_split(head, ',')) AS name, generate_subscripts(string_split(head, ','), 1) - 1 AS col_idx FROM h)

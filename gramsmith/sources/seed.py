@@ -149,3 +149,11 @@ SUPPLEMENTARY_PORTIONS = [
     ("Potatoes, flesh and skin, raw", "medium baking", 283.0, "US baking potato"),
     ("Potatoes, flesh and skin, raw", "small baking", 226.0, "US baking potato"),
 ]
+
+# id, title, description, file, source title, source of the catalog's recipes; their category is crepes.
+CATALOG = [
+    ("swedish-pancakes", "Swedish Pancakes (Pannkakor)", "Thin, eggy Scandinavian pancakes with a high milk-to-flour ratio. Served with jam and whipped cream.", "swedish_recipe_pannkisar.csv", "Aggregated Swedish recipes", "Swedish pannkakor recipes collected from Swedish-language cooking websites and cookbooks."),
+    ("english-pannkakor", "Pannkakor (English sources)", "Swedish-style thin pancakes as documented in English-language cooking sources.", "english_recipe_pannkisar.csv", "Aggregated English-language pannkakor recipes", "Pannkakor recipes collected from English-language cooking websites and cookbooks."),
+    ("french-crepes", "French Crêpes", "Classic French crêpes — thin pancakes made with flour, milk, eggs, and butter.", "french_recipe_crepes.csv", "Aggregated French recipes", "Crêpe recipes collected from French-language cooking websites and cookbooks."),
+    ("english-crepes", "English Crepes", "Crepes as documented in English-language cooking sources — typically a bit thicker than French crêpes.", "english_recipe_crepes.csv", "Aggregated English-language crepe recipes", "Crepe recipes collected from English-language cooking websites and cookbooks."),
+]
