@@ -61,7 +61,9 @@ def header_names(line: str) -> list[str]:
 
 
 def header(line: str, registry: Registry) -> tuple[Ingredient, ...]:
-    return tuple(registry.get(n) for n in header_names(line))
+    names = header_names(line)
+    registry.load(names)
+    return tuple(registry.get(n) for n in names)
 
 
 def cells(line: Column) -> Column:

@@ -1,7 +1,7 @@
 """The registry of foods, synonyms, densities and portions: its build and its lookups.
 
-Everything is a DataFrame until a header is resolved, which needs a dictionary on
-the driver; a registry handed to it is checked to be small.
+Everything is a DataFrame until a header is resolved, which needs its ingredients on
+the driver: of a small registry all, of a larger one those that the header names.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gramsmith.errors import InvalidInput
 from gramsmith.functions.measures import is_whole_unit, strip
-from gramsmith.session import broadcast_if_small, cut, free_name, small_rows
+from gramsmith.session import SMALL_ROWS, broadcast_if_small, cut, free_name, small_rows
 from gramsmith.sources import seed
 
 FOOD, SYNONYM = "id bigint, name string, source string, fdc_id bigint", "id bigint, food_id bigint, name string"
@@ -303,29 +303,28 @@ def seed_tables(spark: SparkSession) -> Tables:
 
 
 class Registry:
-    """Ingredients by name, case apart. Holds a small registry on the driver."""
+    """Ingredients by name, case apart. What of them is needed comes to the driver, by the names of headers."""
 
     def __init__(self, ingredients: Mapping[str, Ingredient], tables: Tables | None = None):
         self.ingredients, self.tables = dict(ingredients), tables
 
     @classmethod
-    def of(cls, tables: Tables) -> Registry:
-        picked = {r["food_id"]: r for r in _small(picked_density(tables.density), ["food_id", "g_per_ml", "source"])}
-        more = {r["food_id"]: r["alternatives"] for r in _small(density_alternatives(tables.density), ["food_id", "alternatives"])}
-        whole: dict[int, dict[str, float]] = {}
-        for r in _small(pieces(tables.portion), ["food_id", "size", "grams"]):
-            whole.setdefault(r["food_id"], {})[r["size"]] = r["grams"]
-        names: dict[int, list[str]] = {}
-        for r in sorted(_small(tables.synonym, ["id", "food_id", "name"])):
-            names.setdefault(r["food_id"], []).append(r["name"].lower())
-        made: dict[str, Ingredient] = {}
-        for food_id, synonyms in names.items():
-            p = picked.get(food_id)
-            density, source = (p["g_per_ml"], p["source"]) if p else (1.0, "default")
-            alternatives = tuple((a["g_per_ml"], a["source"]) for a in more.get(food_id, [])[1:])
-            for s in synonyms:
-                made[s] = Ingredient(s, food_id, density, source, alternatives, whole.get(food_id, {}), tuple(synonyms))
-        return cls(made, tables)
+    def of(cls, tables: Tables, limit: int = SMALL_ROWS) -> Registry:
+        """A small registry is read at once, a larger one by names as they are asked for."""
+        sides = (tables.synonym, tables.density, tables.portion)
+        small = all(side.limit(limit + 1).count() <= limit for side in sides)
+        return cls(_ingredients(tables) if small else {}, tables)
+
+    def load(self, names: Sequence[str]) -> None:
+        """Reads the foods that names stand for, with all of their synonyms."""
+        keys = sorted({n.strip().lower() for n in names} - self.ingredients.keys())
+        if not keys or self.tables is None:
+            return
+        t = self.tables
+        ids = [r["food_id"] for r in t.synonym.filter(F.lower("name").isin(keys)).select("food_id").distinct().collect()]
+        of = lambda df: df.filter(F.col("food_id").isin(ids))
+        if ids:
+            self.ingredients |= _ingredients(Tables(t.food, of(t.synonym), of(t.density), of(t.portion)))
 
     @classmethod
     def seed(cls, spark: SparkSession) -> Registry:
@@ -333,6 +332,7 @@ class Registry:
 
     def get(self, name: str) -> Ingredient:
         key = name.strip().lower()
+        self.load([key])
         if key not in self.ingredients:
             hints = [r["name"] for r in suggest(self.tables.food, self.tables.synonym, key).collect()] if self.tables else []
             more = f". Did you mean: {', '.join(hints)}?" if hints else ""
@@ -340,8 +340,28 @@ class Registry:
         return self.ingredients[key].called(key)
 
 
+def _ingredients(tables: Tables) -> dict[str, Ingredient]:
+    """All ingredients of tables, by each of their synonyms."""
+    picked = {r["food_id"]: r for r in _small(picked_density(tables.density), ["food_id", "g_per_ml", "source"])}
+    more = {r["food_id"]: r["alternatives"] for r in _small(density_alternatives(tables.density), ["food_id", "alternatives"])}
+    whole: dict[int, dict[str, float]] = {}
+    for r in _small(pieces(tables.portion), ["food_id", "size", "grams"]):
+        whole.setdefault(r["food_id"], {})[r["size"]] = r["grams"]
+    names: dict[int, list[str]] = {}
+    for r in sorted(_small(tables.synonym, ["id", "food_id", "name"])):
+        names.setdefault(r["food_id"], []).append(r["name"].lower())
+    made: dict[str, Ingredient] = {}
+    for food_id, synonyms in names.items():
+        p = picked.get(food_id)
+        density, source = (p["g_per_ml"], p["source"]) if p else (1.0, "default")
+        alternatives = tuple((a["g_per_ml"], a["source"]) for a in more.get(food_id, [])[1:])
+        for s in synonyms:
+            made[s] = Ingredient(s, food_id, density, source, alternatives, whole.get(food_id, {}), tuple(synonyms))
+    return made
+
+
 def _small(df: DataFrame, columns: Sequence[str]) -> list:
     rows = small_rows(df, columns)
     if rows is None:
-        raise ValueError("the registry is too large for the driver; join its tables instead")
+        raise ValueError("the foods that are asked for have too many rows for the driver")
     return rows

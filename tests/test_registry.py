@@ -90,3 +90,16 @@ def test_numbers_run_over_ranges(spark):
     got = [(r["k"], r["id"]) for r in registry.numbered(df, 10, "k").collect()]
     assert sorted(got) == [(f"k{k:04d}", 11 + k) for k in range(1000)]
     assert registry.numbered(df.limit(0), 0, "k").count() == 0
+
+
+def test_large_registries_are_read_by_name(spark, seed_registry):
+    """The limit decides how much is read, not what is found."""
+    r = registry.Registry.of(seed_registry.tables, limit=3)
+    assert r.ingredients == {}
+    r.load(["Flour", "eggs", "granite"])
+    assert set(r.ingredients) >= {"flour", "plain flour", "eggs", "egg"} and "rum" not in r.ingredients
+    for name in ("flour", "eggs"):
+        a, b = r.get(name), seed_registry.get(name)
+        assert (a, a.density, a.pieces, a.synonyms, a.alternatives) == (b, b.density, b.pieces, b.synonyms, b.alternatives)
+    with pytest.raises(InvalidInput, match="No such ingredient"):
+        r.get("granite")
