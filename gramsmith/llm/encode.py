@@ -16,9 +16,11 @@ for each pair. No text leaves its partition: the encoding is a map.
 from __future__ import annotations
 
 import base64
+import functools
 from array import array
 from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -30,7 +32,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Encoded words and pairs kept by a worker; beyond it they are computed anew.
 MEMO_WORDS = 300_000
 MEMO_PAIRS = 1_000_000
-#: Words longer than this are encoded but not kept.
+#: Words longer than this are encoded but not kept, and found by an automaton.
 LONG_WORD = 200
 
 
@@ -78,7 +80,9 @@ class TrieEncoder:
             while shared < most and path[shared] == word[shared]:
                 shared += 1
             del last[shared:]
-            for d in range(shared, len(word)):
+            if len(word) - shared > LONG_WORD:
+                self._extend(word, last)
+            for d in range(len(last), len(word)):
                 for start in range(max(0, d + 1 - longest), d + 1):
                     t = ranks.get(word[start : d + 1])
                     if t is not None and (self.follows(last[start - 1], t) if start else self.reachable(t)):
@@ -92,6 +96,26 @@ class TrieEncoder:
                 d -= len(self.bytes[t])
             yield ids[::-1]
 
+    def _extend(self, word: bytes, last: list[int]) -> None:
+        """The states of a long way down the trie, from the tokens that end at each byte only, longest first.
+
+        An automaton of all tokens finds them in one pass, so that a word of
+        megabytes costs a few steps a byte and not one for each length of token.
+        """
+        begin = max(0, len(last) + 1 - self.longest)
+        for end, t in self.automaton.iter(word.decode("latin-1"), begin):
+            start = end + 1 - len(self.bytes[t])
+            if end == len(last) and (self.follows(last[start - 1], t) if start else self.reachable(t)):
+                last.append(t)
+
+    @functools.cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        found = ahocorasick.Automaton()
+        for b, t in self.ranks.items():
+            found.add_word(b.decode("latin-1"), t)
+        found.make_automaton()
+        return found
+
     def learn(self, words: set[str]) -> None:
         order = sorted((w.encode(), w) for w in words)
         for (_, w), ids in zip(order, self.traverse([b for b, _ in order]), strict=True):

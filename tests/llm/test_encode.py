@@ -29,6 +29,21 @@ def test_texts(encoder, library, text):
     assert ids(encoder, text) == library.encode_ordinary(text)
 
 
+def test_long_words(encoder, library):
+    """Words of many kilobytes, some sharing long prefixes; time grows with their length."""
+    import random
+    import time
+
+    r = random.Random(2)
+    base = "".join(r.choice("abcdethinéß") for _ in range(3000))
+    for texts in ([base, base + "ing", base[:2000] + "zz" * 300], ["".join(r.choice("theinga") for _ in range(20_000))], ["é" * 4000]):
+        got, offsets = encoder.encode(texts)
+        assert [list(got[a:b]) for a, b in zip(offsets, offsets[1:])] == [library.encode_ordinary(t) for t in texts]
+    began = time.time()
+    assert len(ids(encoder, "thequickbrownfox" * 20_000)) > 10_000
+    assert time.time() - began < 20
+
+
 @given(st.text(max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_any_text(encoder, library, text):
