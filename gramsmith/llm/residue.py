@@ -301,6 +301,20 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("page", pa.int64()), ("n", pa.int32()
 _CHUNK = 20_000
 
 
+_BREAKS, _BLANKS = "\r\v\f\x85\u2028\u2029", "\t\x1c\x1d\x1e\x1f\u1680"
+#: ASCII text to words: all but letters, digits and line ends is a blank.
+_TO_WORDS = {c: " " for c in range(128) if not chr(c).isalnum() and chr(c) != "\n"}
+
+
+def _cut(text: str) -> str:
+    """A text in compatibility form with a line end wherever ``segments`` cuts, and more blanks at most."""
+    for c in _BREAKS:
+        text = text.replace(c, "\n")
+    for c in _BLANKS:
+        text = text.replace(c, " ")
+    return text.replace(". ", ".\n").replace("! ", "!\n").replace("? ", "?\n")
+
+
 @functools.cache
 def _automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
@@ -310,29 +324,30 @@ def _automaton() -> ahocorasick.Automaton:
     return found
 
 
-def judged_segments(text: str) -> tuple[str, dict[str, int]]:
-    """The words of a text, lines and sentences apart, and the kind of each of its distinct segments, by their words.
+def judged_segments(text: str) -> dict[str, int]:
+    """The kind of each distinct segment of a text, by its words.
 
     Digits are one, so that numbers don't tell segments apart. The text is cut and
     folded as a whole (folding neither makes nor removes a line end), and its
     segments are judged only if it holds a trigger.
     """
-    shown = _CUT.sub("\n", visible(text))
+    shown = _cut(visible(text))
     low = flat(shown)
-    words = _BETWEEN.sub(" ", _DIGITS.sub("0", low.replace("_", " ")))
-    keys = [x.strip() for x in words.split("\n")]
+    words = _DIGITS.sub("0", low)
+    words = words.translate(_TO_WORDS) if words.isascii() else _BETWEEN.sub(" ", words.replace("_", " "))
+    keys = [" ".join(x.split()) for x in words.split("\n")]
     found = dict.fromkeys(keys, NONE)
     if triggers := {t for _, t in _automaton().iter(low)} or ({"har"} if low.count("har") >= 6 else ()):
         for key, seg, folded in zip(keys, shown.split("\n"), low.split("\n"), strict=True):
-            if seg and (kind := _judged(" ".join(seg.split()), " ".join(folded.split()), triggers)):
+            if may_hold(folded, triggers) and (kind := _judged(" ".join(seg.split()), " ".join(folded.split()), triggers)):
                 found[key] = WHOLE if WHOLE in (found[key], kind) else WITHIN
     if found.get("") == NONE:
         del found[""]
-    return words, found
+    return found
 
 
 def cut_segments(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, page (a hash of the words of the text), n (its segments), kind and words of each distinct segment of each text."""
+    """doc_id, page (a hash of the segments of the text), n (its segments), kind and words of each distinct segment of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -344,10 +359,10 @@ def cut_segments(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 if not t or i is None:
                     continue
-                whole, found = judged_segments(t)
+                found = judged_segments(t)
                 n = len(found)
                 ids += [i] * n
-                pages += [xxhash.xxh64_intdigest(whole) - (1 << 63)] * n
+                pages += [xxhash.xxh64_intdigest("\n".join(found)) - (1 << 63)] * n
                 sizes += [n] * n
                 kinds += found.values()
                 words += found

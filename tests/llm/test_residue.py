@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from gramsmith.llm import residue as R
 
@@ -210,7 +212,13 @@ def test_texts_are_judged_as_their_segments(spark, data):
     texts = [*RESIDUE, *EARNEST, *UNTRIGGERED, " ".join(RESIDUE), "\n".join(EARNEST + RESIDUE), "a_b __c__\u0301.\u0301 d\u2026 E. \u0130X! \u00df?\n\u0301\n{{ x }}", "1.5 dl. 2,5!\r\n\x85x"]
     texts += [r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").select("text").collect() if r["text"]]
     for t in texts:
-        assert R.judged_segments(t)[1] == judged_one_by_one(t), t
+        assert R.judged_segments(t) == judged_one_by_one(t), t
+
+
+@given(st.text(alphabet="aB1é.!? \n\t\r\x0b\x0c\x1c\x85\xa0\u2028\u1680_-{}", max_size=30))
+@settings(max_examples=400, deadline=None)
+def test_any_text_is_cut_as_its_segments(text):
+    assert R.judged_segments(text) == judged_one_by_one(text)
 
 
 KNOWN, LEARNED = "Please enable JavaScript to view this recipe.", "Zur Startseite bitte hier entlang"
