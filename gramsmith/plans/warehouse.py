@@ -40,9 +40,13 @@ def _measures(spark: SparkSession, d: str, *more: str) -> DataFrame:
 
 
 def _grams(spark: SparkSession, d: str, *more: str) -> DataFrame:
-    """Lines with grams by the density of their part, which is a column here."""
+    """Lines with grams by the density of their part, which is a column here.
+
+    As in the SQL, the value multiplies the weight of one unit: the order of the
+    factors decides to which side half a milligram is rounded.
+    """
     part = table(spark, d, "part").select("p_partkey", "p_type", (F.lit(0.5) + F.col("p_size") / 100).alias("density"))
-    grams = measures.to_grams(F.col("p.value"), F.col("p.key"), F.col("density"), {"large": PIECE})
+    grams = F.col("p.value") * measures.to_grams(F.lit(1.0), F.col("p.key"), F.col("density"), {"large": PIECE})
     return _measures(spark, d, *more).join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_type", *more, grams.alias("grams"), F.col("density"))
 
 
