@@ -33,3 +33,7 @@ def wide() -> list[list[float]]:
 def test_normalize_100(spark, tied):
     rows = both(spark, tied, "normalize_100", "l_orderkey", "col_idx", "share")
     assert rows == [(k, c, pytest.approx(round(100 * g / 307.253, 6), abs=1e-9)) for k, row in enumerate(wide()) for c, g in enumerate(row)]
+
+
+def test_wide_pivot(spark, tied):
+    assert both(spark, tied, "wide_pivot", "l_orderkey", *[f"c{k}" for k in range(6)]) == [(k, *row) for k, row in enumerate(wide())]
