@@ -37,3 +37,8 @@ def test_normalize_100(spark, tied):
 
 def test_wide_pivot(spark, tied):
     assert both(spark, tied, "wide_pivot", "l_orderkey", *[f"c{k}" for k in range(6)]) == [(k, *row) for k, row in enumerate(wide())]
+
+
+def test_to_long(spark, tied):
+    rows = both(spark, tied, "to_long", "l_orderkey", "col_idx", "ingredient", "value")
+    assert rows == [(k, c, TYPES[c].lower(), g) for k, row in enumerate(wide()) for c, g in enumerate(row)]
