@@ -42,3 +42,7 @@ def test_wide_pivot(spark, tied):
 def test_to_long(spark, tied):
     rows = both(spark, tied, "to_long", "l_orderkey", "col_idx", "ingredient", "value")
     assert rows == [(k, c, TYPES[c].lower(), g) for k, row in enumerate(wide()) for c, g in enumerate(row)]
+
+
+def test_distinct_compositions(spark, tied):
+    assert both(spark, tied, "distinct_compositions", *[f"c{k}" for k in range(6)]) == sorted(tuple(row) for row in wide())
