@@ -46,3 +46,8 @@ def test_to_long(spark, tied):
 
 def test_distinct_compositions(spark, tied):
     assert both(spark, tied, "distinct_compositions", *[f"c{k}" for k in range(6)]) == sorted(tuple(row) for row in wide())
+
+
+def test_merge_full(spark, tied):
+    rows = both(spark, tied, "merge_full", "l_orderkey", "c0", "c1", "c2", "c3")
+    assert rows == [(k, round(r[0] + r[5], 6), round(r[1] + r[2], 6), r[3], r[4]) for k, r in enumerate(wide())]
