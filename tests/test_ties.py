@@ -51,3 +51,8 @@ def test_distinct_compositions(spark, tied):
 def test_merge_full(spark, tied):
     rows = both(spark, tied, "merge_full", "l_orderkey", "c0", "c1", "c2", "c3")
     assert rows == [(k, round(r[0] + r[5], 6), round(r[1] + r[2], 6), r[3], r[4]) for k, r in enumerate(wide())]
+
+
+def test_merge_partial(spark, tied):
+    rows = both(spark, tied, "merge_partial", "l_orderkey", "c0", "c1", "c2", "c3")
+    assert rows == [(k, pytest.approx(r[1] + r[0] * 0.25, abs=1e-6), pytest.approx(r[2] * 0.5 + r[5], abs=1e-6), r[3], r[4]) for k, r in enumerate(wide())]
