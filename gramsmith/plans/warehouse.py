@@ -29,8 +29,13 @@ INGREDIENTS = tuple(Ingredient(t.lower(), k, pieces={"medium": 44.0, "large": PI
 
 
 def _text() -> Column:
-    unit = F.element_at(F.array(*map(F.lit, UNITS)), F.col("l_linenumber"))
-    return F.concat(F.col("l_quantity").cast("int").cast("string"), unit)
+    """The measure of a line; null where the line number, or none, has no unit.
+
+    As in the SQL, amounts are rounded to whole ones, halves to the even one.
+    element_at fails beyond the list and takes the last unit for a null.
+    """
+    unit = F.try_element_at(F.array(*map(F.lit, UNITS)), F.nullif(F.col("l_linenumber"), F.lit(0)))
+    return F.concat(F.rint("l_quantity").cast("int").cast("string"), unit)
 
 
 def _measures(spark: SparkSession, d: str, *more: str) -> DataFrame:
