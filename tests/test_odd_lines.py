@@ -26,3 +26,9 @@ def odd(spark, tmp_path_factory, request):
 def test_wide_pivot(spark, odd):
     d, wide = odd
     assert both(spark, d, "wide_pivot", "l_orderkey", *[f"c{k}" for k in range(6)]) == [(k, *r) for k, r in enumerate(wide)]
+
+
+def test_to_long(spark, odd):
+    d, wide = odd
+    rows = both(spark, d, "to_long", "l_orderkey", "col_idx", "ingredient", "value")
+    assert rows == [(k, c, TYPES[c].lower(), g) for k, r in enumerate(wide) for c, g in enumerate(r)]
