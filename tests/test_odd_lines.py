@@ -32,3 +32,8 @@ def test_to_long(spark, odd):
     d, wide = odd
     rows = both(spark, d, "to_long", "l_orderkey", "col_idx", "ingredient", "value")
     assert rows == [(k, c, TYPES[c].lower(), g) for k, r in enumerate(wide) for c, g in enumerate(r)]
+
+
+def test_distinct_compositions(spark, odd):
+    d, wide = odd
+    assert both(spark, d, "distinct_compositions", *[f"c{k}" for k in range(6)]) == sorted(tuple(r) for r in wide)
