@@ -37,3 +37,8 @@ def test_to_long(spark, odd):
 def test_distinct_compositions(spark, odd):
     d, wide = odd
     assert both(spark, d, "distinct_compositions", *[f"c{k}" for k in range(6)]) == sorted(tuple(r) for r in wide)
+
+
+def test_merge_full(spark, odd):
+    d, wide = odd
+    assert both(spark, d, "merge_full", "l_orderkey", "c0", "c1", "c2", "c3") == [(k, r[0] + r[5], r[1] + r[2], r[3], r[4]) for k, r in enumerate(wide)]
