@@ -42,3 +42,8 @@ def test_distinct_compositions(spark, odd):
 def test_merge_full(spark, odd):
     d, wide = odd
     assert both(spark, d, "merge_full", "l_orderkey", "c0", "c1", "c2", "c3") == [(k, r[0] + r[5], r[1] + r[2], r[3], r[4]) for k, r in enumerate(wide)]
+
+
+def test_merge_partial(spark, odd):
+    d, wide = odd
+    assert both(spark, d, "merge_partial", "l_orderkey", "c0", "c1", "c2", "c3") == [(k, r[1] + r[0] * 0.25, r[2] * 0.5 + r[5], r[3], r[4]) for k, r in enumerate(wide)]
