@@ -55,10 +55,19 @@ def _grams(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return _measures(spark, d, *more).join(part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_type", *more, grams.alias("grams"), F.col("density"))
 
 
+def _total(n: Column) -> Column:
+    """The sum of a bigint as a double, 0 of no rows; in halves, as it may exceed a bigint, where the SQL sums hugeints."""
+    high, low = F.sum(F.shiftright(n, 32)), F.sum(n.bitwiseAND(F.lit(0xFFFFFFFF)))
+    size = F.lit(1 << 32)
+    return F.when(high.isNull(), 0.0).when(F.abs(high) < 1 << 30, (high * size + low).cast("double")).otherwise((high.cast("decimal(20,0)") * size + low).cast("double"))
+
+
 def _frame(spark: SparkSession, d: str, *keys: str) -> Frame:
     """A row for each order (and keys), a column for each type; sums are of whole milligrams, so that they are exact."""
-    mg = F.floor(F.col("grams") * 1000 + 0.5).cast("bigint")
-    cells = [(F.coalesce(F.sum(F.when(F.col("p_type") == t, mg)), F.lit(0)) / F.lit(1000.0)).alias(f"c{k}") for k, t in enumerate(TYPES)]
+    exact = F.col("grams") * 1000 + 0.5
+    # floor gives the largest bigint for all beyond it; the cast fails, as the SQL's does.
+    mg = F.when(F.abs(exact) < 2.0**63, F.floor(exact)).otherwise(exact.cast("bigint"))
+    cells = [(_total(F.when(F.col("p_type") == t, mg)) / F.lit(1000.0)).alias(f"c{k}") for k, t in enumerate(TYPES)]
     return Frame(_grams(spark, d, *keys).groupBy("l_orderkey", *keys).agg(*cells), INGREDIENTS)
 
 
