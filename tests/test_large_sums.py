@@ -40,3 +40,7 @@ def test_line_beyond_bigint_fails(spark, tmp_path):
     d = stored(spark, str(tmp_path), [(0, 3, 0, 2e9)], 2_000_000_000)
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         entry.queries()["to_long"](spark, d).collect()
+
+
+def test_distinct_compositions(spark, large):
+    assert both(spark, large, "distinct_compositions", *[f"c{k}" for k in range(6)]) == sorted(tuple(row) for row in wide())
