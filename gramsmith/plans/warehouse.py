@@ -114,8 +114,9 @@ def distinct_compositions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _merged(spark: SparkSession, d: str, spec: str) -> DataFrame:
+    """Merged columns; rounded as in the SQL, by a product with 10^6, which above 2^53 millionths isn't exact."""
     f = compose.merge(_frame(spark, d), compose.parse_merge(spec))
-    return f.df.select("l_orderkey", *[_r(c).alias(c) for c in f.columns])
+    return f.df.select("l_orderkey", *[(F.round(F.col(c) * 1e6) / 1e6).alias(c) for c in f.columns])
 
 
 def merge_full(spark: SparkSession, d: str) -> DataFrame:

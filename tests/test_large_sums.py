@@ -1,4 +1,4 @@
-"""Sums of more milligrams than a bigint holds are those of the SQL."""
+"""Sums of more milligrams than a bigint holds are those of the SQL, and large merges are rounded as it does."""
 
 from math import floor
 
@@ -44,3 +44,18 @@ def test_line_beyond_bigint_fails(spark, tmp_path):
 
 def test_distinct_compositions(spark, large):
     assert both(spark, large, "distinct_compositions", *[f"c{k}" for k in range(6)]) == sorted(tuple(row) for row in wide())
+
+
+ROUNDED = 414706743810.7529  # what 414706743810.753 g are when rounded by a product with 10^6
+
+
+@pytest.fixture(scope="module")
+def rounded(spark, tmp_path_factory):
+    """An order k for each type k, with 414706743810.753 g of it."""
+    return stored(spark, str(tmp_path_factory.mktemp("rounded")), [(k, 3, k, 1999999986.0) for k in range(6)], 37)
+
+
+def test_merge_full(spark, rounded, large):
+    rows = both(spark, rounded, "merge_full", "l_orderkey", "c0", "c1", "c2", "c3")
+    assert rows == [(k, *[ROUNDED if k in types else 0.0 for types in ((0, 5), (1, 2), (3,), (4,))]) for k in range(6)]
+    assert len(both(spark, large, "merge_full", "l_orderkey", "c0", "c1", "c2", "c3")) == 6
