@@ -59,3 +59,9 @@ def test_merge_full(spark, rounded, large):
     rows = both(spark, rounded, "merge_full", "l_orderkey", "c0", "c1", "c2", "c3")
     assert rows == [(k, *[ROUNDED if k in types else 0.0 for types in ((0, 5), (1, 2), (3,), (4,))]) for k in range(6)]
     assert len(both(spark, large, "merge_full", "l_orderkey", "c0", "c1", "c2", "c3")) == 6
+
+
+def test_merge_partial(spark, rounded, large):
+    rows = both(spark, rounded, "merge_partial", "l_orderkey", "c0", "c1", "c2", "c3")
+    assert [r for r in rows if r[0] not in (0, 2)] == [(k, *[ROUNDED if k == t else 0.0 for t in (1, 5, 3, 4)]) for k in (1, 3, 4, 5)]
+    assert len(both(spark, large, "merge_partial", "l_orderkey", "c0", "c1", "c2", "c3")) == 6
